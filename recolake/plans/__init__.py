@@ -3,6 +3,6 @@
 
 def load_all():
     """Import every query module so that it registers its queries."""
-    from recolake.plans import stats_queries  # noqa: F401
+    from recolake.plans import model_queries, stats_queries  # noqa: F401
     from recolake.plans.registry import REGISTRY
     return REGISTRY
