@@ -87,3 +87,30 @@ def ods_tag_parse(spark, sf_dir):
 SELECT mid, name, genres, description, '""" + RUN_DATE + """' AS date FROM movies WHERE mid IS NOT NULL""")
 def dim_movie_snapshot(spark, sf_dir):
     return dim.movie_snapshot(fx.movies(spark, sf_dir), RUN_DATE)
+
+
+# ------------------------------------------------------------------ sinks
+SNAP_D1, SNAP_D2 = "2024-01-30", "2024-01-31"
+
+
+@register("snapshot_overwrite", with_ctes(RATINGS_L_SQL, RATINGS_E_SQL) + f"""
+SELECT mid, round(avg(score), 6) AS avg, '{SNAP_D1}' AS date FROM ratings_l WHERE mid IS NOT NULL GROUP BY mid
+UNION ALL
+SELECT mid, round(avg(score), 6) AS avg, '{SNAP_D2}' AS date FROM ratings_e WHERE mid IS NOT NULL GROUP BY mid""")
+def snapshot_overwrite(spark, sf_dir):
+    """Daily partitions of a summary table under dynamic overwrite: write
+    date 1, write date 2, re-run date 1 with other input, write an empty
+    frame for date 2 (skipped).  Only date 1 may change."""
+    import uuid
+
+    from recolake.session import scratch_path
+    from recolake.sources.tables import Lakehouse
+
+    lake = Lakehouse(spark, scratch_path(spark, "warehouse"), database=f"snap_{uuid.uuid4().hex[:12]}")
+    ev = dws.avg_score(fx.ratings_e(spark, sf_dir))
+    li = dws.avg_score(fx.ratings_l(spark, sf_dir))
+    lake.write(ods.stamp_date(ev, SNAP_D1), "dws", "MovieAvgRating")
+    lake.write(ods.stamp_date(ev, SNAP_D2), "dws", "MovieAvgRating")
+    lake.write(ods.stamp_date(li, SNAP_D1), "dws", "MovieAvgRating")
+    lake.write(ods.stamp_date(ev.limit(0), SNAP_D2), "dws", "MovieAvgRating")
+    return lake.read("dws", "MovieAvgRating").select("mid", _r6("avg"), "date")
