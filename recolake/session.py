@@ -70,11 +70,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root (never machine-local
-    on a cluster, since the root comes from the session)."""
-    root = ensure_checkpoint_dir(spark)
-    if "://" not in root:
-        os.makedirs(root, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+    """A fresh, not yet existing path under the shared checkpoint root (never
+    machine-local on a cluster, since the root comes from the session)."""
     import uuid
+    root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint root and
+    read it back: cuts the lineage (recomputation after a lost executor
+    starts from the files) and gives the optimizer real size statistics."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
