@@ -1,0 +1,28 @@
+"""Every registered query with an oracle equals its DuckDB SQL at sf0.001;
+the entry point runs; keys and schemas line up."""
+
+import pytest
+
+import __spark_entry__ as entry
+from oracle_harness import compare
+
+SF = "/root/testdata/sf0.001"
+SQL = entry.oracle_sql()
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["mid", "name", "genre", "avg", "rank"]
+    assert df.count() > 0
+
+
+def test_every_oracle_has_a_query():
+    assert set(SQL) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_oracle(spark, name):
+    r = compare(entry.queries()[name](spark, SF), SQL[name], SF)
+    assert r["cols_match"], r
+    assert r["spark_rows"] == r["duck_rows"], r
+    assert r["hash_match"], r
