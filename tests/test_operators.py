@@ -118,11 +118,12 @@ def _events(spark, rows):
     return spark.createDataFrame(rows, "event_id long, uid int, mid int, score double, time long")
 
 
-def test_history_window_bounds_and_oldest_wins(spark):
+@pytest.mark.parametrize("method", ["skew_safe", "window"])
+def test_history_window_bounds_and_oldest_wins(spark, method):
     rows = [(i, 1, i % 35, float(i % 5 + 1), i) for i in range(40)]
     rows += [(100 + i, 2, 7, float(i + 1), i) for i in range(3)]  # one movie rated repeatedly
     rows += [(200, 3, 1, 3.0, 0)]
-    h = online.with_history(_events(spark, rows)).collect()
+    h = online.with_history(_events(spark, rows), method=method, num_partitions=5).collect()
     by = {r.event_id: r.hist for r in h}
     assert by[0] == [] and len(by[1]) == 1 and len(by[30]) == 30 and len(by[31]) == 30
     assert [e.mid for e in by[39]] == [i % 35 for i in range(9, 39)]  # previous 30, oldest first
@@ -173,6 +174,19 @@ def test_recommend_matches_row_loop(spark):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_hot_user_split_across_partitions(spark):
+    """One user with most of the events: sequence numbers stay exact when the
+    user's events are spread over many range partitions."""
+    rows = [(i, 1, i % 50, float(i % 5 + 1), i) for i in range(500)] + [(1000 + i, 2, i, 1.0, i) for i in range(5)]
+    seq = online.sequence_numbers(_events(spark, rows), num_partitions=7)
+    got = {r.event_id: r.rn for r in seq.collect()}
+    assert all(got[i] == i + 1 for i in range(500))
+    assert all(got[1000 + i] == i + 1 for i in range(5))
+    a = online.with_history(_events(spark, rows), num_partitions=7).select("event_id", "hist")
+    b = online.with_history(_events(spark, rows), method="window").select("event_id", "hist")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_movie_without_similars_gives_no_candidates(spark):
     ev = _events(spark, [(1, 1, 5, 4.0, 1), (2, 1, 6, 4.0, 2)])
     sims = spark.createDataFrame([(6, 5, 0.9), (5, 6, 0.9)], "mid1 int, mid2 int, similarity double")
