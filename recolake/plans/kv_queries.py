@@ -52,7 +52,7 @@ def _puts(spark, sf_dir):
     return (o.join(c, o.o_custkey == c.c_custkey)
             .select(F.col("c_name").alias("rowkey"), F.lit("info").alias("family"),
                     F.lit("last_order").alias("qualifier"), F.col("o_orderkey").cast("string").alias("value"),
-                    F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("ts")))
+                    F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)").alias("ts")))
 
 
 @register("kv_upsert_latest", with_ctes(KV_SQL, _PUTS_SQL) + """

@@ -15,7 +15,12 @@ import __spark_entry__ as entry  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 only = set(sys.argv[2:])
-spark = build_session("oracle", master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
+import os
+extra = {"spark.driver.memory": "8g"}
+if os.environ.get("ORACLE_TZ"):
+    extra["spark.sql.session.timeZone"] = os.environ["ORACLE_TZ"]
+spark = build_session("oracle", master="local[8]", shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE", "8")),
+                      extra=extra)
 qs, sqls = entry.queries(), entry.oracle_sql()
 ok = True
 for name, fn in qs.items():
