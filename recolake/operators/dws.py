@@ -44,3 +44,17 @@ def genre_top(movies: DataFrame, avgs: DataFrame, k: int = 10) -> DataFrame:
     w = Window.partitionBy(F.trim(F.col("genre"))).orderBy(F.col("avg").desc_nulls_last(), F.col("mid").asc())
     return (joined.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k))
+
+
+# Presentation orders of the summary tables.  A partitioned table has no row
+# order, so these are applied only when a caller asks for sorted output.
+def order_by_month(by_month: DataFrame) -> DataFrame:
+    return by_month.orderBy(F.col("yearmonth").desc(), F.col("rating_count").desc(), F.col("mid"))
+
+
+def order_by_count(counts: DataFrame) -> DataFrame:
+    return counts.orderBy(F.col("rating_count").desc(), F.col("mid"))
+
+
+def order_by_avg(avgs: DataFrame) -> DataFrame:
+    return avgs.orderBy(F.col("avg").desc(), F.col("mid"))

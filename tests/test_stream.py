@@ -31,6 +31,9 @@ def _split_records(spark, root, topic, n_files=3):
 
 
 def test_stream_equals_batch(spark):
+    from recolake.session import STREAMING_CONF
+    for k, v in STREAMING_CONF.items():  # keyed state in RocksDB, as in production
+        spark.conf.set(k, v)
     root = tempfile.mkdtemp(prefix="stream-")
     _split_records(spark, root, "rating")
     pairs = similarity.item_similarity(fx.item_factors(spark, SF), threshold=0.2).cache()
