@@ -96,11 +96,16 @@ def test_item_similarity_exact_against_brute_force(spark):
     f = spark.createDataFrame(rows, "id int, features array<float>")
     got = {(r.mid1, r.mid2): r.similarity for r in
            similarity.item_similarity(f, threshold=0.3, block_size=7).collect()}
+    similarity.CHUNK, saved = 3, similarity.CHUNK  # chunked products give the same pairs
+    try:
+        chunked = {(r.mid1, r.mid2) for r in similarity.item_similarity(f, threshold=0.3, block_size=16).collect()}
+    finally:
+        similarity.CHUNK = saved
     v = vecs.astype("float64")
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     s = u @ u.T
     want = {(i, j): s[i, j] for i in range(60) for j in range(60) if i != j and s[i, j] > 0.3}
-    assert set(got) == set(want)
+    assert set(got) == set(want) == chunked
     assert all(abs(got[p] - want[p]) < 1e-12 for p in want)
     assert not any(100 in p for p in got)  # zero vector pairs with nothing
     ref = {(r.mid1, r.mid2) for r in similarity.item_similarity_reference_form(
