@@ -114,3 +114,25 @@ def snapshot_overwrite(spark, sf_dir):
     lake.write(ods.stamp_date(li, SNAP_D1), "dws", "MovieAvgRating")
     lake.write(ods.stamp_date(ev.limit(0), SNAP_D2), "dws", "MovieAvgRating")
     return lake.read("dws", "MovieAvgRating").select("mid", _r6("avg"), "date")
+
+
+@register("ods_rating_ingest", with_ctes(RATINGS_E_SQL) + """
+SELECT uid, mid, score, strftime(time, '%Y-%m-%d %H:%M:%S.%f') AS time, '""" + RUN_DATE + """' AS date
+FROM ratings_e""")
+def ods_rating_ingest(spark, sf_dir):
+    """AvailableNow ingest of the rating records into the ODS table; a
+    second run with no new records must append nothing."""
+    import uuid
+
+    from recolake.session import scratch_path
+    from recolake.sources.events import read_events, write_records
+    from recolake.sources.tables import Lakehouse
+    from recolake.streaming.ingest import ingest
+
+    root = scratch_path(spark, "ods_ingest")
+    write_records(fx.rating_json(spark, sf_dir), f"{root}/events", "rating")
+    lake = Lakehouse(spark, f"{root}/warehouse", database=f"ods_{uuid.uuid4().hex[:12]}")
+    for _ in range(2):
+        ingest(lake, read_events(spark, "rating", fmt="json", path=f"{root}/events"), "Rating", RUN_DATE)
+    t = lake.read("ods", "Rating")
+    return t.select("uid", "mid", "score", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"), "date")

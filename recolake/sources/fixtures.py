@@ -94,7 +94,11 @@ ITEM_FACTORS_SQL = """item_factors AS (
 # ---------------------------------------------------------------- streams
 def rating_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating events rendered as stream records (key, value JSON)."""
-    r = ratings_e(spark, sf_dir)
+    return rating_records(ratings_e(spark, sf_dir))
+
+
+def rating_records(r: DataFrame) -> DataFrame:
+    """(key, value) records of rating rows (event_id, uid, mid, score, time)."""
     return r.select(F.col("event_id").cast("string").alias("key"),
                     F.to_json(F.struct(
                         "uid", "mid", "score",
