@@ -37,11 +37,11 @@ def range_filter(kv: DataFrame, start: str, stop: str, family: str, column: str,
     the column pass as well."""
     rng = range_scan(kv, start, stop)
     is_col = (F.col("family") == family) & (F.col("qualifier") == column)
-    flags = rng.groupBy("rowkey").agg(
-        F.max(is_col.cast("int")).alias("has"),
-        F.max((is_col & (F.col("value") == value)).cast("int")).alias("hit"))
-    cond = (F.col("hit") == 1) | (F.col("has") == 0) if keep_missing else (F.col("hit") == 1)
-    return rng.join(flags.filter(cond).select("rowkey"), "rowkey", "left_semi")
+    row = Window.partitionBy("rowkey")  # a row's cells: bounded by its columns x versions
+    flagged = (rng.withColumn("_has", F.max(is_col.cast("int")).over(row))
+               .withColumn("_hit", F.max((is_col & (F.col("value") == value)).cast("int")).over(row)))
+    cond = (F.col("_hit") == 1) | (F.col("_has") == 0) if keep_missing else (F.col("_hit") == 1)
+    return flagged.filter(cond).drop("_has", "_hit")
 
 
 def multi_get(kv: DataFrame, keys: DataFrame, columns: list[str] | None = None,
