@@ -275,3 +275,14 @@ def test_kv_upsert_versions_and_delete(spark, cells):
     keys = spark.createDataFrame([("r1",), ("r3",)], "rowkey string")
     assert {r.rowkey for r in kv.delete(cells, keys).collect()} == {"r2", "r4"}
     assert {r.rowkey for r in kv.multi_get(cells, keys, ["b"]).collect()} == {"r1", "r3"}
+
+
+def test_sim_positions_match_lists(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(1, j, round(rnd.random(), 2)) for j in range(2, 300)] + [(2, 1, 0.5), (3, 1, 0.5), (3, 2, 0.5)]
+    pairs = spark.createDataFrame(rows, "mid1 int, mid2 int, similarity double")
+    flat = {(r.mid, r.pos): r.sim_mid for r in similarity.sim_positions(pairs, num_partitions=6).collect()}
+    lists = similarity.sim_lists(pairs).collect()
+    want = {(r.mid, i): e.mid for r in lists for i, e in enumerate(r.simList)}
+    assert flat == want
