@@ -8,7 +8,6 @@ session (for example ``spark.checkpoint.dir`` set by the cluster) always win.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,19 +52,28 @@ def build_session(app_name: str = "recolake", master: str | None = None,
     return spark
 
 
+_LOCAL_CHECKPOINT_ROOT: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) is a scratch directory created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only in local mode,
+    when it is unset (tests), is a scratch directory created; on a cluster an
+    unset root is an error rather than a machine-local folder.  The RDD
+    checkpoint directory is registered once per context.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="recolake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
+        d = _LOCAL_CHECKPOINT_ROOT.get(sc.applicationId)
+        if d is None:
+            d = tempfile.mkdtemp(prefix="recolake-ckpt-")
+            _LOCAL_CHECKPOINT_ROOT[sc.applicationId] = d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
