@@ -1,7 +1,8 @@
 """Command line: ``python -m recolake.cli <job> --date D --warehouse W [options]``.
 
 Jobs: dim-movie, dws-rating, dws-movie-rating, als-predictor, als-trainer,
-tfidf, db-loader, ods-rating, ods-tag.  Connection settings for JDBC come
+tfidf, db-loader, ods-rating, ods-tag; table tools: view (print rows of
+--layer/--source, optionally one --date), drop (remove the catalog entry).  Connection settings for JDBC come
 from RECOLAKE_DB_URL / _USER / _PASSWORD / _DRIVER.
 """
 
@@ -29,6 +30,8 @@ def main(argv=None) -> None:
     ap.add_argument("--layer", default=None)
     ap.add_argument("--source", default=None)
     ap.add_argument("--sink", default=None)
+    ap.add_argument("--rows", type=int, default=20)
+    ap.add_argument("--only-date", action="store_true", help="view: only the --date partition")
     a = ap.parse_args(argv)
 
     spark = build_session(f"recolake-{a.job}", master=a.master, shuffle_partitions=a.shuffle_partitions,
@@ -60,6 +63,10 @@ def main(argv=None) -> None:
         raw = read_events(spark, topic, fmt=a.events_format, path=a.events_path,
                           bootstrap_servers=a.bootstrap_servers)
         jobs.ods_job(lake, raw, "Rating" if topic == "rating" else "Tag", a.date)
+    elif a.job == "view":
+        lake.read(a.layer, a.source, a.date if a.only_date else None).show(a.rows, truncate=False)
+    elif a.job == "drop":
+        lake.drop(a.layer, a.source)
     else:
         raise SystemExit(f"unknown job {a.job}")
     spark.stop()

@@ -136,3 +136,24 @@ def ods_rating_ingest(spark, sf_dir):
         ingest(lake, read_events(spark, "rating", fmt="json", path=f"{root}/events"), "Rating", RUN_DATE)
     t = lake.read("ods", "Rating")
     return t.select("uid", "mid", "score", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"), "date")
+
+
+@register("ods_tag_ingest", """
+SELECT CAST(user_id AS INTEGER) AS uid, CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
+       event_type AS tag, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time, '""" + RUN_DATE + """' AS date
+FROM events""")
+def ods_tag_ingest(spark, sf_dir):
+    """AvailableNow ingest of the tag records into the ODS table."""
+    import uuid
+
+    from recolake.session import scratch_path
+    from recolake.sources.events import read_events, write_records
+    from recolake.sources.tables import Lakehouse
+    from recolake.streaming.ingest import ingest
+
+    root = scratch_path(spark, "ods_ingest")
+    write_records(fx.tag_json(spark, sf_dir), f"{root}/events", "tag")
+    lake = Lakehouse(spark, f"{root}/warehouse", database=f"ods_{uuid.uuid4().hex[:12]}")
+    ingest(lake, read_events(spark, "tag", fmt="json", path=f"{root}/events"), "Tag", RUN_DATE)
+    t = lake.read("ods", "Tag")
+    return t.select("uid", "mid", "tag", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"), "date")
