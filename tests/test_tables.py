@@ -32,3 +32,15 @@ def test_overwrite_replaces_only_written_dates(spark):
     assert [r.mid for r in one.collect()] == [3]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "d2" in plan
+
+
+def test_tables_shared_across_processes(spark):
+    """A second job with its own (empty) catalog finds the tables by path."""
+    wh = scratch_path(spark, "wh")
+    first = Lakehouse(spark, wh, database="t_proc_a")
+    first.write(spark.createDataFrame([(1, 2.0)], "mid int, avg double").withColumn("date", F.lit("2024-01-31")),
+                "dws", "MovieAvgRating")
+    second = Lakehouse(spark, wh, database="t_proc_b")
+    assert second.exists("dws", "MovieAvgRating")
+    assert [(r.mid, r.date) for r in second.read("dws", "MovieAvgRating", "2024-01-31").collect()] == [(1, "2024-01-31")]
+    assert spark.sql("SELECT count(*) AS n FROM t_proc_a.DataWarehouseSummary_MovieAvgRating").collect()[0].n == 1
