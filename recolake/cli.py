@@ -1,7 +1,9 @@
 """Command line: ``python -m recolake.cli <job> --date D --warehouse W [options]``.
 
 Jobs: dim-movie, dws-rating, dws-movie-rating, als-predictor, als-trainer,
-tfidf, db-loader, ods-rating, ods-tag; table tools: view (print rows of
+tfidf, db-loader, ods-rating, ods-tag, online (the streaming recommender,
+runs until stopped; --sink is a parquet path, or "jdbc:<table>" for the
+database named by RECOLAKE_DB_URL); table tools: view (print rows of
 --layer/--source, optionally one --date), drop (remove the catalog entry).  Connection settings for JDBC come
 from RECOLAKE_DB_URL / _USER / _PASSWORD / _DRIVER.
 """
@@ -12,7 +14,7 @@ import argparse
 
 from recolake.plans import jobs
 from recolake.session import build_session
-from recolake.sources.tables import Lakehouse
+from recolake.sources.tables import Lakehouse, checkpoint_path
 
 
 def main(argv=None) -> None:
@@ -31,11 +33,13 @@ def main(argv=None) -> None:
     ap.add_argument("--source", default=None)
     ap.add_argument("--sink", default=None)
     ap.add_argument("--rows", type=int, default=20)
+    ap.add_argument("--checkpoint", default=None)
+    ap.add_argument("--interval", default="5 seconds")
     ap.add_argument("--only-date", action="store_true", help="view: only the --date partition")
     a = ap.parse_args(argv)
 
     spark = build_session(f"recolake-{a.job}", master=a.master, shuffle_partitions=a.shuffle_partitions,
-                          streaming=a.job.startswith("ods-"))
+                          streaming=a.job.startswith("ods-") or a.job == "online")
     lake = Lakehouse(spark, a.warehouse, fmt=a.format)
     if a.job == "dim-movie":
         from recolake.sources.jdbc import connection_from_env, read_jdbc
@@ -63,6 +67,20 @@ def main(argv=None) -> None:
         raw = read_events(spark, topic, fmt=a.events_format, path=a.events_path,
                           bootstrap_servers=a.bootstrap_servers)
         jobs.ods_job(lake, raw, "Rating" if topic == "rating" else "Tag", a.date)
+    elif a.job == "online":
+        from recolake.sources.events import read_events
+        from recolake.streaming import online_stream
+        raw = read_events(spark, "rating", fmt=a.events_format, path=a.events_path,
+                          bootstrap_servers=a.bootstrap_servers)
+        if a.sink.startswith("jdbc:"):
+            from recolake.sources.jdbc import connection_from_env
+            c = connection_from_env()
+            url = c.pop("url")
+            sink = online_stream.jdbc_sink(url, a.sink[len("jdbc:"):], c)
+        else:
+            sink = online_stream.parquet_sink(a.sink)
+        checkpoint = a.checkpoint or checkpoint_path(lake.stream_warehouse, "ads", "Rating")
+        jobs.online_job(lake, raw, sink, checkpoint, a.interval).awaitTermination()
     elif a.job == "view":
         lake.read(a.layer, a.source, a.date if a.only_date else None).show(a.rows, truncate=False)
     elif a.job == "drop":
