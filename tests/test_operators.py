@@ -302,3 +302,26 @@ def test_number_within_matches_row_number(spark):
         got = number_within(df, "k", ["t", "id"], num_partitions=rnd.randint(1, 9))
         want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
         assert got.select("id", "rn").exceptAll(want.select("id", "rn")).count() == 0
+
+
+def test_hashed_similarity_equals_ml_vectors(spark):
+    """Cosines of the hashed variant equal the ML pipeline's own vectors."""
+    from pyspark.ml.feature import IDF, HashingTF, Tokenizer
+    texts = ["red fox jumps", "red dog sleeps", "blue fox runs far", "red red fox", "dog and fox",
+             "  leading blanks fox", "zebra"]
+    movies = spark.createDataFrame([(i, f"n{i}", t, "g") for i, t in enumerate(texts)],
+                                   "mid int, name string, description string, genres string")
+    got = {(r.mid1, r.mid2): r.similarity for r in content.hashed_similarity(movies, k=None).collect()}
+    docs = content.corpus(movies)
+    tf = HashingTF(inputCol="words", outputCol="tf").transform(
+        Tokenizer(inputCol="text", outputCol="words").transform(docs))
+    vec = {r.mid: r.v for r in IDF(inputCol="tf", outputCol="v").fit(tf).transform(tf).collect()}
+    want = {}
+    for a, va in vec.items():
+        for b, vb in vec.items():
+            if a != b and va.norm(2) > 0 and vb.norm(2) > 0:
+                sim = va.dot(vb) / (va.norm(2) * vb.norm(2))
+                if round(sim, 9) > 0:
+                    want[(a, b)] = sim
+    assert set(got) == set(want)
+    assert all(abs(got[p] - want[p]) < 1e-12 for p in want)
