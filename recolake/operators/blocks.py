@@ -20,8 +20,18 @@ LO = "_lo"
 HI = "_hi"
 
 
-def n_blocks(n_rows: int, block_size: int) -> int:
-    return max(1, math.ceil(n_rows / max(1, block_size)))
+# Enough blocks that the block pairs give every core a few tasks.
+PAIRS_PER_CORE = 4
+
+
+def n_blocks(n_rows: int, block_size: int, cores: int | None = None) -> int:
+    """Blocks of at most ``block_size`` rows; with ``cores``, at least enough
+    blocks for PAIRS_PER_CORE block pairs per core (small inputs only)."""
+    nb = max(1, math.ceil(n_rows / max(1, block_size)))
+    if cores:
+        floor = math.ceil(math.sqrt(2 * PAIRS_PER_CORE * cores))
+        nb = max(nb, min(floor, max(1, n_rows)))
+    return nb
 
 
 def with_block(df: DataFrame, id_col: str, n: int) -> DataFrame:
