@@ -35,6 +35,8 @@ def n_blocks(n_rows: int, block_size: int, cores: int | None = None) -> int:
 
 
 def with_block(df: DataFrame, id_col: str, n: int) -> DataFrame:
+    from recolake.session import ship_package
+    ship_package(df.sparkSession)  # the kernels run in Python workers
     return df.withColumn(BLOCK, F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("int"))
 
 

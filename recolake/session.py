@@ -8,6 +8,7 @@ session (for example ``spark.checkpoint.dir`` set by the cluster) always win.
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -93,3 +94,29 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``recolake`` importable in the Python workers (once per
+    application): the package is zipped on the driver and distributed with
+    ``addPyFile``, as for any job dependency.  Needed because the pandas
+    kernels reference the package's modules."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="recolake-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
