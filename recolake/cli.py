@@ -26,6 +26,10 @@ def main(argv=None) -> None:
     ap.add_argument("--shuffle-partitions", type=int, default=None)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--movies-table", default="t_movie")
+    ap.add_argument("--jdbc-column", default=None, help="numeric column splitting a JDBC read")
+    ap.add_argument("--jdbc-lower", type=int, default=None)
+    ap.add_argument("--jdbc-upper", type=int, default=None)
+    ap.add_argument("--jdbc-partitions", type=int, default=None)
     ap.add_argument("--events-format", default="kafka")
     ap.add_argument("--events-path", default=None)
     ap.add_argument("--bootstrap-servers", default=None)
@@ -45,7 +49,9 @@ def main(argv=None) -> None:
         from recolake.sources.jdbc import connection_from_env, read_jdbc
         c = connection_from_env()
         url = c.pop("url")
-        jobs.dim_movie_job(lake, read_jdbc(spark, a.movies_table, url, c), a.date)
+        movies = read_jdbc(spark, a.movies_table, url, c, column=a.jdbc_column, lower=a.jdbc_lower,
+                           upper=a.jdbc_upper, num_partitions=a.jdbc_partitions)
+        jobs.dim_movie_job(lake, movies, a.date)
     elif a.job == "dws-rating":
         jobs.dws_rating_job(lake, a.date)
     elif a.job == "dws-movie-rating":
