@@ -17,6 +17,8 @@ sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 only = set(sys.argv[2:])
 import os
 extra = {"spark.driver.memory": "8g"}
+if os.environ.get("ORACLE_ANSI"):
+    extra["spark.sql.ansi.enabled"] = os.environ["ORACLE_ANSI"]
 if os.environ.get("ORACLE_AQE"):
     extra["spark.sql.adaptive.enabled"] = os.environ["ORACLE_AQE"]
 if os.environ.get("ORACLE_TZ"):
