@@ -56,6 +56,27 @@ def build_session(app_name: str = "recolake", master: str | None = None,
 _LOCAL_CHECKPOINT_ROOT: dict = {}
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def cores(spark: SparkSession) -> int:
+    """Default parallelism of the session (task slots)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root named by the cluster.
 
@@ -64,16 +85,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset root is an error rather than a machine-local folder.  The RDD
     checkpoint directory is registered once per context.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-        d = _LOCAL_CHECKPOINT_ROOT.get(sc.applicationId)
+        d = _LOCAL_CHECKPOINT_ROOT.get(app_id(spark))
         if d is None:
             d = tempfile.mkdtemp(prefix="recolake-ckpt-")
-            _LOCAL_CHECKPOINT_ROOT[sc.applicationId] = d
-    if sc.getCheckpointDir() is None:
+            _LOCAL_CHECKPOINT_ROOT[app_id(spark)] = d
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
@@ -106,8 +128,8 @@ def ship_package(spark: SparkSession) -> None:
     kernels reference the package's modules."""
     import zipfile
 
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    key = app_id(spark)
+    if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     fd, path = tempfile.mkstemp(prefix="recolake-", suffix=".zip")
@@ -118,5 +140,9 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
+    sc = _context(spark)
+    if sc is not None:
+        sc.addPyFile(path)
+    else:  # Spark Connect: artifacts instead of the context's file server
+        spark.addArtifacts(path, pyfile=True)
+    _SHIPPED.add(key)
