@@ -91,3 +91,44 @@ def test_processing_time_trigger_picks_up_new_files(spark):
         "event_id", "uid", "mid", F.round("degree", 9).alias("d"))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+def test_state_function_equals_event_loop():
+    """The vectorised state function equals a literal per-event loop over
+    the newest-first history list, across micro-batches."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    class State:
+        exists, val = False, None
+
+        @property
+        def get(self):
+            return self.val
+
+        def update(self, v):
+            self.exists, self.val = True, v
+
+    rnd = random.Random(5)
+    fn, st, ref_m, ref_s = online_stream.history_function(30), State(), [], []
+    for batch_no in range(6):
+        b = rnd.randint(1, 80)
+        base = batch_no * 1000
+        pdf = pd.DataFrame({"event_id": np.arange(base, base + b), "uid": 1,
+                            "mid": [rnd.randint(0, 12) for _ in range(b)],
+                            "score": [float(rnd.randint(1, 5)) for _ in range(b)],
+                            "time": pd.to_datetime(np.arange(base, base + b), unit="s")}).sample(frac=1, random_state=1)
+        out = next(fn((1,), iter([pdf]), st)).set_index("event_id")
+        for _, r in pdf.sort_values(["time", "event_id"]).iterrows():
+            seen, hm, hs = set(), [], []
+            for m_, s_ in zip(reversed(ref_m), reversed(ref_s)):
+                if m_ not in seen:
+                    seen.add(m_)
+                    hm.append(m_)
+                    hs.append(s_)
+            assert list(out.loc[r.event_id, "hist_mids"]) == hm
+            assert list(out.loc[r.event_id, "hist_scores"]) == hs
+            ref_m, ref_s = ([int(r.mid)] + ref_m)[:30], ([float(r.score)] + ref_s)[:30]
+        assert list(st.val[0]) == ref_m and list(st.val[1]) == ref_s
