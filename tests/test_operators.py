@@ -325,3 +325,26 @@ def test_hashed_similarity_equals_ml_vectors(spark):
                     want[(a, b)] = sim
     assert set(got) == set(want)
     assert all(abs(got[p] - want[p]) < 1e-12 for p in want)
+
+
+def test_kv_range_ops_match_brute_force(spark):
+    """Property: range scan and range filter equal a brute-force evaluation
+    over random cells, keys compared as byte strings."""
+    import random
+    rnd = random.Random(21)
+    keys = [f"r{rnd.randint(0, 60):03d}{rnd.choice(['', 'a', 'Z', 'é'])}" for _ in range(40)]
+    cells = [(k, "info", q, rnd.choice(["x", "y", "z"]), 1) for k in set(keys)
+             for q in rnd.sample(["a", "b", "c"], rnd.randint(1, 3))]
+    df = spark.createDataFrame(cells, "rowkey string, family string, qualifier string, value string, ts long")
+    enc = lambda x: x.encode("utf-8")
+    for _ in range(5):
+        lo, hi = sorted(rnd.sample(keys, 2))
+        got = {(r.rowkey, r.qualifier) for r in kv.range_scan(df, lo, hi).collect()}
+        want = {(c[0], c[2]) for c in cells if enc(lo) <= enc(c[0]) < enc(hi)}
+        assert got == want
+        for keep in (True, False):
+            got = {r.rowkey for r in kv.range_filter(df, lo, hi, "info", "b", "x", keep_missing=keep).collect()}
+            rows = {c[0] for c in cells if enc(lo) <= enc(c[0]) < enc(hi)}
+            has = {c[0] for c in cells if c[2] == "b"}
+            hit = {c[0] for c in cells if c[2] == "b" and c[3] == "x"}
+            assert got == {r for r in rows if r in hit or (keep and r not in has)}
