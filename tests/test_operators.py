@@ -348,3 +348,12 @@ def test_kv_range_ops_match_brute_force(spark):
             has = {c[0] for c in cells if c[2] == "b"}
             hit = {c[0] for c in cells if c[2] == "b" and c[3] == "x"}
             assert got == {r for r in rows if r in hit or (keep and r not in has)}
+
+
+def test_recommend_drops_incomplete_events(spark):
+    ev = spark.createDataFrame([(1, 1, 5, 4.0, 1), (2, 1, None, 4.0, 2), (3, None, 6, 4.0, 3), (4, 1, 6, None, 4),
+                                (5, 1, 6, 4.0, 5)], "event_id long, uid int, mid int, score double, time long")
+    sims = spark.createDataFrame([(6, 5, 0.9), (5, 6, 0.9), (6, 7, 0.8), (7, 6, 0.8), (5, 7, 0.7), (7, 5, 0.7)],
+                                 "mid1 int, mid2 int, similarity double")
+    got = {(r.event_id, r.mid) for r in online.recommend(ev, sims).collect()}
+    assert got == {(5, 7)}  # only complete events; event 5's history is event 1 (movie 5)
