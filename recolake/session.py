@@ -141,8 +141,12 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc = _context(spark)
-    if sc is not None:
-        sc.addPyFile(path)
-    else:  # Spark Connect: artifacts instead of the context's file server
-        spark.addArtifacts(path, pyfile=True)
+    try:
+        if sc is not None:
+            sc.addPyFile(path)
+        else:  # Spark Connect: artifacts instead of the context's file server
+            spark.addArtifacts(path, pyfile=True)
+    except Exception as e:  # workers may already have the package installed
+        import warnings
+        warnings.warn(f"could not ship recolake to the workers: {e}")
     _SHIPPED.add(key)
