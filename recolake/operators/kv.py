@@ -46,8 +46,9 @@ def range_filter(kv: DataFrame, start: str, stop: str, family: str, column: str,
 
 def multi_get(kv: DataFrame, keys: DataFrame, columns: list[str] | None = None,
               key_col: str = "rowkey") -> DataFrame:
-    """Cells of the given row keys (a DataFrame of keys, any size)."""
-    out = kv.join(keys.select(F.col(key_col).alias("rowkey")).distinct(), "rowkey", "left_semi")
+    """Cells of the given row keys (a DataFrame of keys, any size; repeated
+    keys are harmless, a semi join never duplicates cells)."""
+    out = kv.join(keys.select(F.col(key_col).alias("rowkey")), "rowkey", "left_semi")
     if columns:
         out = out.filter(F.col("qualifier").isin(list(columns)))
     return out
