@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recolake.llm.exact_dedup import content_sort_dedup
+from recolake.llm.simhash import simhash_groups
 from recolake.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -36,3 +37,8 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha2
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (content_sort_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+
+
+@register("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))

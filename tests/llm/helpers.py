@@ -1,0 +1,43 @@
+"""Small document tables with the edge cases every operator must take."""
+
+import random
+
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("n_chars", T.LongType())])
+
+
+def prose(rng, n, words=400):
+    return " ".join(f"w{rng.randrange(words)}" for _ in range(n))
+
+
+def edge_rows(seed=0, n=40):
+    """Null and empty texts, white space only, a long text, exact copies, near
+    copies, a repeated row, null lang and source."""
+    rng = random.Random(seed)
+    texts = [prose(rng, rng.randrange(1, 120)) for _ in range(n)]
+    texts += [None, "", " \n\t", "one", "Two Words", "two words", prose(rng, 3000)]
+    texts += [texts[3]] * 5 + [texts[4].replace(" ", "\n"), texts[4] + " "]
+    long = prose(rng, 200)
+    texts += [long, long + " tail", "head " + long, long.replace("w1 ", "v1 ")]
+    rows = [(i, t, None if i % 11 == 0 else "en", None if i % 7 == 0 else f"s{i % 3}", None if t is None else len(t))
+            for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    return rows + [rows[0]]
+
+
+def edge_docs(spark, seed=0, n=40, null_id=False):
+    rows = edge_rows(seed, n)
+    if null_id:
+        rows.append((None, "a row without an id", "en", "s1", 19))
+    return spark.createDataFrame(rows, DOCS)
+
+
+def clashing(docs):
+    """The same table with extra columns named like outputs and working columns."""
+    from pyspark.sql import functions as F
+    for c in ("row", "id", "kept", "keep_id", "score", "component_id", "fp", "sequence_id", "n", "block", "key"):
+        docs = docs.withColumn(c, F.lit("x"))
+    return docs
