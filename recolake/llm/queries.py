@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recolake.llm.exact_dedup import content_sort_dedup
+from recolake.llm.quality_rules import score_quality
 from recolake.llm.simhash import simhash_groups
 from recolake.plans.registry import Query
 
@@ -42,3 +43,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
