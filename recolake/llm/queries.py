@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recolake.llm.exact_dedup import content_sort_dedup
+from recolake.llm.packing import pack
 from recolake.llm.quality_rules import score_quality
 from recolake.llm.simhash import simhash_groups
+from recolake.llm.token_table import read_tokens, with_ids_crc32, write_tokens
 from recolake.plans.registry import Query
+from recolake.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 
@@ -48,3 +52,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("op3_token_table")
+def op3_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_table")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return with_ids_crc32(read_tokens(spark, path))
+
+
+@register("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=1)
