@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recolake.llm import language_id
+from recolake.llm.common import crc_of_id
 from recolake.llm.exact_dedup import content_sort_dedup
 from recolake.llm.packing import pack
+from recolake.llm.quality_classifier import classify
 from recolake.llm.quality_rules import score_quality
 from recolake.llm.simhash import simhash_groups
 from recolake.llm.token_table import read_tokens, with_ids_crc32, write_tokens
@@ -64,3 +67,19 @@ def op3_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=1)
+
+
+@register("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                    held_out=crc_of_id() % 3 == 1)
+
+
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id() % 4 == 2
+    model = language_id.fit(docs, ~held_out)
+    return (language_id.identify(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score",
+                    "language.rejected"))
