@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from recolake.llm import language_id
 from recolake.llm.common import crc_of_id
 from recolake.llm.exact_dedup import content_sort_dedup
+from recolake.llm.line_dedup import line_dedup
+from recolake.llm.mixing import schedule
 from recolake.llm.packing import pack
 from recolake.llm.quality_classifier import classify
 from recolake.llm.quality_rules import score_quality
@@ -83,3 +85,53 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (language_id.identify(docs.select("doc_id", "text"), model)
             .select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score",
                     "language.rejected"))
+
+
+# The exponent at which the rarest source is read MIX_PASSES times is solved in
+# closed form here; the operator bisects it.
+MIX_PASSES, MIX_BLOCK, MIX_SEED = 2.0, 1 << 18, 11
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS source,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents),
+s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY 1),
+e AS (SELECT round(greatest(0, 1 - ln({MIX_PASSES}) / ln(max(tokens) / min(tokens))), 6) AS a, sum(tokens) AS total
+      FROM s WHERE tokens > 0),
+r AS (SELECT source, tokens, (tokens / total) ** a AS raw FROM s, e),
+w AS (SELECT source, tokens, raw / (SELECT sum(raw) FROM r) AS weight FROM r),
+m AS (SELECT source, tokens, weight, round((SELECT max(tokens / weight) FROM w) * weight / tokens, 9) AS passes FROM w),
+p AS (SELECT d.*, tokens, passes, weight, unnest(range(0, ceil(passes)::INT)) AS pass FROM d JOIN m USING (source)),
+k AS (SELECT *, ('0x' || substr(md5('{MIX_SEED}|' || pass || '|' || doc_id), 1, 15))::BIGINT AS key FROM p),
+c AS (SELECT *, (pass * tokens + coalesce(sum(n_tokens) OVER (PARTITION BY source, pass ORDER BY key, doc_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start FROM k)
+SELECT doc_id, source, pass::INT AS pass, n_tokens, start, floor(start / (weight * {MIX_BLOCK}))::BIGINT AS block
+FROM c WHERE start < passes * tokens
+"""
+
+
+@register("op2_mixing", OP2_SQL)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schedule(table(spark, sf_dir, "documents"), block_tokens=MIX_BLOCK, seed=MIX_SEED, max_passes=MIX_PASSES)
+
+
+OP9_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS no FROM documents),
+f AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS full_line FROM l),
+v AS (SELECT doc_id, no, line, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS ln FROM f WHERE full_line),
+w AS (SELECT doc_id, no, ln, line, lead(line) OVER (PARTITION BY doc_id ORDER BY ln) AS next FROM v),
+x AS (SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, ln) > 1 AS later FROM w
+      WHERE next IS NOT NULL),
+g AS (SELECT v.doc_id, v.no FROM v SEMI JOIN
+        (SELECT doc_id, ln FROM x WHERE later UNION SELECT doc_id, ln + 1 FROM x WHERE later) y
+        ON v.doc_id = y.doc_id AND v.ln = y.ln),
+k AS (SELECT f.doc_id, f.no, f.line, f.full_line, g.no IS NOT NULL AS gone
+      FROM f LEFT JOIN g ON f.doc_id = g.doc_id AND f.no = g.no)
+SELECT doc_id, count(*) FILTER (full_line) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id
+"""
+
+
+@register("op9_line_dedup", OP9_SQL)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), run=2).drop("text", "kept_text")
