@@ -15,6 +15,7 @@ from recolake.llm.packing import pack
 from recolake.llm.quality_classifier import classify
 from recolake.llm.quality_rules import score_quality
 from recolake.llm.simhash import simhash_groups
+from recolake.llm.substring_dedup import substring_dedup
 from recolake.llm.token_table import read_tokens, with_ids_crc32, write_tokens
 from recolake.plans.registry import Query
 from recolake.session import scratch_path
@@ -135,3 +136,23 @@ FROM k GROUP BY doc_id
 @register("op9_line_dedup", OP9_SQL)
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), run=2).drop("text", "kept_text")
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d),
+x AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h FROM s),
+f AS (SELECT h, min(doc_id) AS m FROM x GROUP BY h),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM x JOIN f USING (h) WHERE m < doc_id),
+v AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT v.doc_id, v.p, v.word, r.p IS NOT NULL AS gone FROM v LEFT JOIN r ON v.doc_id = r.doc_id AND v.p = r.p),
+g AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS c,
+             string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(c, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
+@register("op4_substring_dedup", OP4_SQL)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), window=50)
