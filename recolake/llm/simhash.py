@@ -203,3 +203,16 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     label = named.join(least, "root").select("fp", "component_id")
     return (hashed.join(label, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    bits: int = 3) -> DataFrame:
+    """The input rows without near duplicates: of each group the document of
+    the smallest id stays.  Ids name documents, so rows that repeat the id of a
+    document that stays all stay; so do rows without an id, which no group can
+    name."""
+    groups = simhash_groups(docs, id_col, text_col, shingle, bits)
+    stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__stays")).distinct()
+    named = F.col(f"`{id_col}`")
+    return (docs.where(named.isNotNull()).join(stay, named == F.col("__stays"), "left_semi")
+            .unionByName(docs.where(named.isNull())))
