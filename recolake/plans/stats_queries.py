@@ -40,6 +40,26 @@ def movie_avg(spark, sf_dir):
     return dws.avg_score(fx.ratings_l(spark, sf_dir)).select("mid", _r6("avg"))
 
 
+# The presentation orders; the checks compare rows, pytest their order.
+@register("movie_months_sorted", with_ctes(RATINGS_L_SQL) + """
+SELECT mid, strftime(time, '%Y-%m') AS yearmonth, count(score) AS rating_count
+FROM ratings_l WHERE mid IS NOT NULL GROUP BY 1, 2 ORDER BY 2 DESC, 3 DESC, 1""")
+def movie_months_sorted(spark, sf_dir):
+    return dws.order_by_month(dws.count_by_month(fx.ratings_l(spark, sf_dir)))
+
+
+@register("movie_counts_sorted", with_ctes(RATINGS_L_SQL) + """
+SELECT mid, count(score) AS rating_count FROM ratings_l WHERE mid IS NOT NULL GROUP BY mid ORDER BY 2 DESC, 1""")
+def movie_counts_sorted(spark, sf_dir):
+    return dws.order_by_count(dws.count_total(dws.count_by_month(fx.ratings_l(spark, sf_dir))))
+
+
+@register("movie_avgs_sorted", with_ctes(RATINGS_L_SQL) + """
+SELECT mid, round(avg(score), 6) AS avg FROM ratings_l WHERE mid IS NOT NULL GROUP BY mid ORDER BY avg(score) DESC, 1""")
+def movie_avgs_sorted(spark, sf_dir):
+    return dws.order_by_avg(dws.avg_score(fx.ratings_l(spark, sf_dir))).select("mid", _r6("avg"))
+
+
 @register("genre_explode", with_ctes(MOVIES_SQL) + """
 SELECT mid, name, unnest(string_split(genres, '|')) AS genre FROM movies""")
 def genre_explode(spark, sf_dir):
@@ -72,6 +92,15 @@ def ods_rating_parse(spark, sf_dir):
                          F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"), "date")
 
 
+@register("ods_online_parse", with_ctes(RATINGS_E_SQL) + """
+SELECT uid, mid, score FROM ratings_e WHERE uid IS NOT NULL AND mid IS NOT NULL AND score IS NOT NULL""")
+def ods_online_parse(spark, sf_dir):
+    """Records without a time, as the online path reads them."""
+    raw = fx.rating_json(spark, sf_dir)
+    bare = raw.select("key", F.regexp_replace("value", r',"time":"[^"]*"', "").alias("value"))
+    return ods.parse_online_ratings(bare).select("uid", "mid", "score")
+
+
 @register("ods_tag_parse", """
 SELECT CAST(user_id AS INTEGER) AS uid, CAST(json_extract_string(props, '$.k') AS INTEGER) AS mid,
        event_type AS tag, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time, '""" + RUN_DATE + """' AS date

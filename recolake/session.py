@@ -115,9 +115,18 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _delete_at_end(spark, path)
     return spark.read.parquet(path)
 
 
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """The store drops a scratch table when the driver's JVM ends."""
+    sc = _context(spark)
+    if sc is not None:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 _SHIPPED: set = set()
 
 

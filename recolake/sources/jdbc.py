@@ -59,6 +59,38 @@ def write_jdbc(df: DataFrame, table: str, url: str, properties: dict | None = No
     w.save()
 
 
+def _connection(spark: SparkSession, url: str, properties: dict | None):
+    """A driver-side connection for single statements."""
+    props = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, str(v))
+    if props.getProperty("driver"):
+        spark._jvm.java.lang.Class.forName(props.getProperty("driver"))
+    return spark._jvm.java.sql.DriverManager.getConnection(url, props)
+
+
+def table_exists(spark: SparkSession, table: str, url: str, properties: dict | None = None) -> bool:
+    """Whether the database's catalog lists the table (in any letter case)."""
+    connection = _connection(spark, url, properties)
+    try:
+        names = connection.getMetaData().getTables(None, None, "%", None)
+        while names.next():
+            if names.getString("TABLE_NAME").lower() == table.split(".")[-1].lower():
+                return True
+        return False
+    finally:
+        connection.close()
+
+
+def execute(spark: SparkSession, statement: str, url: str, properties: dict | None = None) -> int:
+    """Run one statement from the driver; the rows it changed."""
+    connection = _connection(spark, url, properties)
+    try:
+        return connection.createStatement().executeUpdate(statement)
+    finally:
+        connection.close()
+
+
 def export_table(lakehouse, layer_name: str, source: str, sink: str, url: str,
                  properties: dict | None = None, mode: str = "errorifexists", date: str | None = None) -> None:
     """Copy a lakehouse table (optionally one date) to a database table."""

@@ -132,3 +132,13 @@ def test_state_function_equals_event_loop():
             assert list(out.loc[r.event_id, "hist_scores"]) == hs
             ref_m, ref_s = ([int(r.mid)] + ref_m)[:30], ([float(r.score)] + ref_s)[:30]
         assert list(st.val[0]) == ref_m and list(st.val[1]) == ref_s
+
+
+def test_records_without_time_and_state_store(spark):
+    from recolake.streaming.online_stream import parse_stream
+    raw = spark.createDataFrame([("1", '{"uid": 1, "mid": 2, "score": 3}'), ("2", '{"uid": 1, "mid": 2}'), ("3", "{"),
+                                 ("4", '{"uid": 1, "mid": 3, "score": 1.5, "time": "2024-01-01"}')],
+                                "key string, value string")
+    rows = sorted(tuple(r) for r in parse_stream(raw, with_time=False).collect())
+    assert rows == [(1, 1, 2, 3.0, None), (4, 1, 3, 1.5, None)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")

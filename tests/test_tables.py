@@ -44,3 +44,19 @@ def test_tables_shared_across_processes(spark):
     assert second.exists("dws", "MovieAvgRating")
     assert [(r.mid, r.date) for r in second.read("dws", "MovieAvgRating", "2024-01-31").collect()] == [(1, "2024-01-31")]
     assert spark.sql("SELECT count(*) AS n FROM t_proc_a.DataWarehouseSummary_MovieAvgRating").collect()[0].n == 1
+
+
+def test_partition_values_are_strings_and_newest_is_static(spark):
+    lake = Lakehouse(spark, scratch_path(spark, "wh"), database="t_newest")
+    assert lake.dates("dws", "B") == []
+    with pytest.raises(FileNotFoundError):
+        lake.newest("dws", "B")
+    for date in ("007", "006", "2024-01-31 a:b"):
+        lake.write(spark.createDataFrame([(1, 1.0)], "mid int, avg double").withColumn("date", F.lit(date)), "dws", "B")
+    assert lake.dates("dws", "B") == ["006", "007", "2024-01-31 a:b"]
+    assert [r.date for r in lake.read("dws", "B", "007").collect()] == ["007"]
+    assert sorted(r.date for r in spark.table(lake.name("dws", "B")).collect()) == ["006", "007", "2024-01-31 a:b"]
+    newest = lake.newest("dws", "B")
+    assert [r.date for r in newest.collect()] == ["2024-01-31 a:b"]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "= 2024-01-31 a:b)" in plan
