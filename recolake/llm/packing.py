@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recolake.llm.tokens import encoder
+from recolake.llm.tokens import encoder, strings
 from recolake.session import materialize
 
 BUCKET = 4096  # pieces packed together
@@ -38,13 +38,13 @@ def cut(docs: DataFrame, tokenizer: str, length: int, end_id: int, id_col: str,
         for b in batches:
             rows: list[tuple] = []
             size = 0
-            for i, ids in enumerate(enc.encode(b.column("text").to_pylist())):
+            for i, ids in enumerate(enc.encode(strings(b.column("text")))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at:at + 4 * length]
                     rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else b""))
                     size += len(rows[-1][5]) + 64
-                if size >= 1 << 24 or i == b.num_rows - 1:
+                if size >= 1 << 22 or i == b.num_rows - 1:
                     at, k, start, n, crc, part = zip(*rows)
                     cols = [b.column("doc_id").take(pa.array(at)), pa.array(range(uid, uid + len(rows)), pa.int64()),
                             pa.array(k, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int64()),

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recolake.llm.tokens import encoder
+from recolake.llm.tokens import encoder, strings
 
 LAYOUT = {
     "compression": "zstd",
@@ -61,10 +61,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
             held: list[bytes] = []
             done = size = 0
             n = b.num_rows
-            for i, ids in enumerate(enc.encode(b.column("text").to_pylist()), 1):
+            for i, ids in enumerate(enc.encode(strings(b.column("text"))), 1):
                 held.append(ids + end)
                 size += len(ids) + 4
-                if size >= 1 << 24 or i == n:  # bounded batches, also for long texts
+                if size >= 1 << 22 or i == n:  # bounded batches, also for long texts
                     counts = np.array([len(x) // 4 for x in held], dtype=np.int64)
                     ends = np.cumsum(counts)
                     values = pa.array(np.frombuffer(b"".join(held), dtype="<i4"))

@@ -3,7 +3,7 @@
 Both public vocabularies split a text at a single space between two visible
 characters whatever surrounds it, so a text's ids are the ids of its
 space-separated pieces in order.  Pieces repeat far more often than texts do:
-each worker keeps a bounded table piece -> ids and sends only new pieces to the
+each worker keeps a bounded table piece -> ids and gives only new pieces to the
 tokenizers library.
 """
 
@@ -11,16 +11,28 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
+import pyarrow as pa
 
 CACHE = 400_000  # pieces a worker remembers
 LONGEST = 64  # longer pieces are encoded but not remembered
-SLICE = 1 << 22  # characters of text encoded together
+SLICE = 1 << 21  # characters of text encoded together
 
-_AMBIGUOUS = re.compile(r" \s|\s |^ | $")
+# Runs that both vocabularies take as units wherever they stand: Latin-1
+# letters, and ASCII punctuation but the apostrophe.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARK = re.escape("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"))
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+_WORD = re.compile(f"[{_LETTER}]+").fullmatch
+_SIMPLE = re.compile(f"(?:[{_LETTER}]+|[{_MARK}]+|(?<!^)\n(?=[{_LETTER}{_MARK}]))+").fullmatch
+_UNITS = re.compile(f"[{_LETTER}]+|[{_MARK}]+|\n").findall
+
+
+def _unclean(piece: str) -> bool:
+    """The space before or after the piece may not be a place to split at."""
+    return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
 class Encoder:
@@ -31,37 +43,91 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        # how the model sees a space before a unit, each letter, and a line end
+        self.lead = self._seen(" a")[:-1]
+        letters = [chr(c) for c in range(256) if _WORD(chr(c))]
+        self.form = {ord(c): self._seen(c) for c in letters}
+        self.line_end = self._seen("\n")
+        self.known: dict[str, bytes] = {}  # ids of pieces that follow a space
+        self.marks: dict[str, bytes] = {}
+
+    def _seen(self, text: str) -> str:
+        norm, pre = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        return "".join(x for x, _ in pre.pre_tokenize_str(norm.normalize_str(text) if norm else text))
+
+    def _model(self, seen: str) -> bytes:
+        return array("i", [t.id for t in self.model.tokenize(seen)]).tobytes()
+
+    def _unit(self, unit: str, spaced: bool) -> bytes:
+        """Ids of a run of letters or marks, or of one line end."""
+        if unit == "\n":
+            return self._model(self.line_end) if self.line_end else b""
+        lead = self.lead if spaced else ""
+        if unit[0].isalpha():
+            known = self.known.get(unit) if spaced else None
+            return known if known is not None else self._model(lead + unit.translate(self.form))
+        known = self.marks.get(lead + unit)
+        if known is None:
+            known = self._model(lead + unit)
+            if len(unit) <= 4:  # at most 31^4 of them, and few in any text
+                self.marks[lead + unit] = known
+        return known
+
+    def _ids(self, pieces: list[str], spaced: bool) -> dict[str, bytes]:
+        """Ids of each piece, after a space if ``spaced``."""
+        found: dict[str, bytes] = {}
+        rest = []
+        lead = self.lead if spaced else ""
+        for p in pieces:
+            if _WORD(p):
+                found[p] = self._model(lead + p.translate(self.form))
+            elif _SIMPLE(p):
+                head, *tail = _UNITS(p)
+                found[p] = self._unit(head, spaced) + b"".join([self._unit(u, False) for u in tail])
+            else:
+                rest.append(p)
+        if rest:
+            got = self.tokenizer.encode([" " + p for p in rest] if spaced else rest, is_pretokenized=True,
+                                        add_special_tokens=False)
+            parts = [array("i") for _ in rest]
+            for i, w in zip(got.ids, got.word_ids):
+                parts[w].append(i)
+            found.update((p, a.tobytes()) for p, a in zip(rest, parts))
+        return found
+
+    def _table(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of every piece, each after a space."""
+        known = self.known
+        fresh = self._ids([p for p in pieces if p not in known], True)
+        passing = [p for p in fresh if len(p) > LONGEST or _unclean(p)]
+        table = known
+        if passing:  # needed now, not remembered
+            table = {**known, **fresh}
+            for p in passing:
+                del fresh[p]
+        known.update(fresh)
+        if len(known) > CACHE:
+            self.known = {p: known[p] for p in pieces if p in known}
+        return table
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        ids = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<i4").tobytes() for p, e in zip(pieces, ids)}
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.split(" ") for t in texts]
+        pieces = set().union(*split)
+        unclean = {p for p in pieces if _unclean(p)}
+        if unclean:
+            split = [s if unclean.isdisjoint(s) else self._split(t) for s, t in zip(split, texts)]
+            pieces = set().union(*split)
+        first = self._ids(list({s[0] for s in split}), False)
+        get = self._table(pieces).__getitem__
+        return [first[s[0]] + b"".join(map(get, s[1:])) for s in split]
 
     @staticmethod
-    def split(text: str) -> list[str]:
-        if not _AMBIGUOUS.search(text):
-            first, *rest = text.split(" ")
-            return [first, *[" " + p for p in rest]]
-        return _SAFE.split(text)
+    def _split(text: str) -> list[str]:
+        head, *rest = _SAFE.split(text)
+        return [head, *[p[1:] for p in rest]]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(t) for t in texts]
-        pieces = set().union(*split)
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known = {"": b""}
-            new = list(pieces)
-        table = self._learn(new)
-        if any(len(p) > LONGEST for p in new):
-            self.known.update((p, v) for p, v in table.items() if len(p) <= LONGEST)
-            table = {**self.known, **table}
-        else:
-            self.known.update(table)
-            table = self.known
-        get = table.__getitem__
-        return [b"".join(map(get, s)) for s in split]
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: Iterator[str | None]) -> Iterator[bytes]:
         """One value for each text in order; null is encoded as the empty text."""
         held, size = [], 0
         for t in texts:
@@ -74,6 +140,12 @@ class Encoder:
             yield from self._encode(held)
 
 
+def strings(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """Values of a string column, few at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

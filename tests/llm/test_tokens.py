@@ -28,7 +28,7 @@ def plain(path, text):
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(text=st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r\x0b\x1c\x85\xa0 'sStTé́Σσ1²½.,!|<>_"),
                                        st.characters(blacklist_categories=("Cs",))), max_size=60))
 def test_pieces_give_the_ids_of_the_whole_text(path, text):
