@@ -83,7 +83,8 @@ def solve(tokens: dict[str, int], target_entropy: float | None = None, max_passe
     w = weights_at(tokens, exponent)
     total = spent(w)
     # a source without tokens is read once
-    return Mix(exponent, total, dict(tokens), w, {k: round(total * w[k] / tokens[k], 9) if tokens[k] else 1.0 for k in tokens})
+    return Mix(exponent, total, dict(tokens), w,
+               {k: round(total * w[k] / tokens[k], 9) if tokens[k] else 1.0 for k in tokens})
 
 
 def n_words(text: Column) -> Column:
@@ -156,7 +157,8 @@ def mixed(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", text_col: str
     to a cut in its permutation: one value per source, so texts are not moved."""
     mix, plan = _plan(_rows(docs, id_col, text_col, source_col), limits, 1, seed)
     last = plan.where((F.col("pass") == F.ceil("passes").cast("int") - 1) & (F.col("tokens") > 0))
-    cuts = last.groupBy("source").agg(F.max(F.struct("key", F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("cut"))
+    cuts = last.groupBy("source").agg(
+        F.max(F.struct("key", F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("cut"))
     spark = docs.sparkSession
     whole = spark.createDataFrame([(k, max(0, math.ceil(v) - 1) if mix.tokens[k] else 1) for k, v in mix.passes.items()],
                                   "name string, whole int")
@@ -164,7 +166,8 @@ def mixed(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", text_col: str
     id_of = F.col("row").getField(id_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("name"))
-    place = F.struct(key(id_of, F.col("whole"), seed).alias("key"), id_of.isNotNull().alias("known"), id_of.alias("doc_id"))
+    place = F.struct(key(id_of, F.col("whole"), seed).alias("key"), id_of.isNotNull().alias("known"),
+                     id_of.alias("doc_id"))
     # one row per source, at most MOST_SOURCES
     counted = rows.join(F.broadcast(table), "name").withColumn(
         "times", F.col("whole") + F.when(place <= F.col("cut"), 1).otherwise(0))
