@@ -82,10 +82,11 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int, dim: int
     held = order[::5] if len(rows) >= 20 else order
     learn = np.setdiff1d(order, held) if len(rows) >= 20 else order
     y = np.array([langs.index(r[0]) for r in rows])
-    emb, out, bias = rng.normal(0, 0.1, (buckets, dim)), rng.normal(0, 0.1, (dim, len(langs))), np.zeros(len(langs))
+    emb = rng.normal(0, 0.1, (buckets, dim)).astype(np.float32)
+    out, bias = rng.normal(0, 0.1, (dim, len(langs))), np.zeros(len(langs))
 
     def dense(idx: np.ndarray) -> np.ndarray:
-        x = np.zeros((len(idx), buckets))
+        x = np.zeros((len(idx), buckets), dtype=np.float32)
         for i, k in enumerate(idx):
             x[i, rows[k][1]] = rows[k][2] / rows[k][2].sum()
         return x
@@ -105,9 +106,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int, dim: int
             back = p @ out.T
             out -= 0.1 * step * (v.T @ p)
             bias -= 0.01 * step * p.sum(axis=0)
-            emb -= step * (x.T @ back)
+            emb -= (x.T @ (step * back).astype(np.float32))
     table = emb @ out
-    z = np.concatenate([dense(held[i:i + 256]) @ table + bias for i in range(0, len(held), 256)])
+    z = np.concatenate([dense(held[i:i + 64]) @ table + bias for i in range(0, len(held), 64)])
 
     def probabilities(t: float) -> np.ndarray:
         p = np.exp(z / t - (z / t).max(axis=1, keepdims=True))
@@ -145,9 +146,14 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
                 ["lang", "at", "n"])
 
     rows = picked.select("text", "lang").mapInArrow(featurise, "lang string, at array<int>, n array<int>")
-    got = rows.toArrow().to_pydict()  # the bounded sample
-    sample = sorted(((g, np.array(a), np.array(n)) for g, a, n in zip(got["lang"], got["at"], got["n"])),
-                    key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    sample = []
+    for b in rows.toArrow().to_batches():  # the bounded sample, as views of its buffers
+        ends = b.column("at").offsets.to_numpy()
+        at, n = (b.column(c).values.to_numpy() for c in ("at", "n"))
+        sample += [(g, at[i:j], n[i:j]) for g, i, j in zip(b.column("lang").to_pylist(), ends[:-1].tolist(),
+                                                          ends[1:].tolist())]
+    # in an order that depends on the documents alone
+    sample.sort(key=lambda r: (r[0], len(r[1]), r[2].sum(), r[1].tobytes(), r[2].tobytes()))
     return train(sample, buckets, **options)
 
 
