@@ -129,17 +129,22 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200, accuracy
     return prior, weights
 
 
-def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = 0.5) -> DataFrame:
-    """Every input row with ``n_words``, ``word_chars``, ``n_symbols``,
-    ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``quality_prob`` and
-    ``kept`` (input columns of these names are replaced).
+def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = 0.5,
+                  columns: list[str] | None = None) -> DataFrame:
+    """Every input row (its ``columns``, by default all) with ``n_words``,
+    ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
+    ``base_failed``, ``quality_prob`` and ``kept`` (input columns of these names
+    are replaced).
 
     ``base_failed``: fewer than 20 words, or over 30 % of the words in repeated
     8-word windows.  ``kept``: not base_failed, and the posterior is at least
     ``keep``.  Null and empty texts have no words and fail the base.  Repeated
     rows are judged alike; an empty table gives an empty result.
     """
-    stats = materialize(with_statistics(packed(docs, id_col, text_col)), "quality_stats")
+    columns = docs.columns if columns is None else columns
+    src = packed(docs, id_col, text_col).withColumn(
+        "row", F.struct(*[F.col("row").getField(c).alias(c) for c in columns]))
+    stats = materialize(with_statistics(src), "quality_stats")
     votes = rules()
     counted = (stats.groupBy(*[v.alias(k) for k, v in votes.items()]).count()).collect()
     prior, weights = fit([(tuple(r[:-1]), r[-1]) for r in counted] or [((0,) * len(votes), 0)])
@@ -148,5 +153,6 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         odds = odds + F.lit(w) * v
     prob = 1 / (1 + F.exp(-odds))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return unpacked(stats, docs, {**{c: F.col(c) for c in STATS[:5]}, "base_failed": failed, "quality_prob": prob,
-                                  "kept": ~failed & (prob >= keep)})
+    out = {**{c: F.col(c) for c in STATS[:5]}, "base_failed": failed, "quality_prob": prob,
+           "kept": ~failed & (prob >= keep)}
+    return unpacked(stats, docs.select(*[f"`{c}`" for c in columns]), out)

@@ -57,7 +57,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return score_quality(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
 @register("op3_token_table")
