@@ -196,6 +196,8 @@ def _common(a: str, i: int, b: str, j: int, step: int) -> int:
     """Equal characters of ``a`` from ``i`` and ``b`` from ``j``, to the right
     (step 1) or to the left of them (step -1)."""
     most = min(len(a) - i, len(b) - j) if step > 0 else min(i, j)
+    if most <= 0 or a[i if step > 0 else i - 1] != b[j if step > 0 else j - 1]:
+        return 0
     n, size = 0, 64
     while n < most:
         size = min(size, most - n)
@@ -246,19 +248,29 @@ class Shard:
             return []
         number = self.number.get
         text = "".join([number(w, "\0") for w in words])
-        spans, reached = [], {}
+        gone, reached, size, block = bytearray(len(text)), {}, len(text), self.block
         for last, places in self.automaton.iter(text):
-            at = last - self.block + 1
+            at = last - block + 1
             for k, there in places:
                 holder, passage = self.passages[k]
-                if not holder < doc_id or reached.get((k, at - there), -1) > at:
+                if not holder < doc_id:
                     continue
+                shift = at - there
+                # nothing new where the whole passage would lie on words that go
+                if gone.find(0, max(0, shift), min(size, shift + len(passage))) < 0 or reached.get((k, shift), -1) > at:
+                    continue
+                right = _common(text, at + block, passage, there + block, 1) + block
                 left = _common(text, at, passage, there, -1)
-                right = _common(text, at, passage, there, 1)
-                reached[k, at - there] = at + right
+                reached[k, shift] = at + right
                 if left + right >= self.window:
-                    spans.append((at - left, at + right))
-        return merged(spans)
+                    gone[at - left:at + right] = b"\1" * (left + right)
+        spans, at = [], gone.find(1)
+        while at >= 0:
+            end = gone.find(0, at)
+            end = size if end < 0 else end
+            spans.append((at, end))
+            at = gone.find(1, end)
+        return spans
 
 
 def _stream(window: int):
