@@ -91,7 +91,8 @@ def line_dedup(docs: DataFrame, run: int = 2, id_col: str = "doc_id", text_col:
             .agg(F.collect_list(F.struct("first_line", "n_lines")).alias("runs")))  # bounded by the document
     runs = materialize(runs, "line_runs").withColumnsRenamed({"id": "run_id", "digest": "run_digest"})
     src = packed(docs, id_col, text_col).withColumn("digest", F.xxhash64("text"))
-    met = src.join(runs, F.col("id").eqNullSafe(F.col("run_id")) & (F.col("digest") == F.col("run_digest")), "left")
+    # runs grow with the texts: the same join at every size, never a broadcast
+    met = src.join(runs.hint("merge"), F.col("id").eqNullSafe(F.col("run_id")) & (F.col("digest") == F.col("run_digest")), "left")
 
     def rebuild(texts: pa.Array, found: pa.Array) -> pa.Array:
         total, gone, kept, sha = [], [], [], []
