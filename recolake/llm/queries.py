@@ -138,6 +138,23 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), run=2).drop("text", "kept_text")
 
 
+OP9_LINES_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS no FROM documents),
+f AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS full_line FROM l),
+k AS (SELECT *, full_line AND row_number() OVER (PARTITION BY line ORDER BY doc_id, no) > 1 AS gone FROM f)
+SELECT doc_id, count(*) FILTER (full_line) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id
+"""
+
+
+@register("op9_line_dedup_lines", OP9_LINES_SQL)
+def op9_line_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of one line count too: no line stays that stood earlier."""
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), run=1).drop("text", "kept_text")
+
+
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d),

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from recolake.llm import substring_dedup as sub
 from recolake.llm.line_dedup import line_dedup, repeated_runs
+from recolake.llm.queries import QUERIES
 from recolake.llm.substring_dedup import Shard, _common, anchor_runs, merged, repeated_spans, substring_dedup
 
 WORD = "[^\x20\x09-\x0D]"
@@ -163,3 +164,11 @@ def test_repeated_rows_and_empty_tables_of_lines(spark):
     assert got == [("1", 2), ("1", 2), ("None", 0)]
     with pytest.raises(ValueError):
         line_dedup(docs, 0)
+
+
+def test_a_line_repeated_between_new_ones_is_deleted(spark, tmp_path):
+    rows = [(i, f"start {i}\nthe same line\nend {i}", "en", "s", 0) for i in range(5)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["doc_id"], r["n_lines"], r["n_removed"], r["kept_sha256"])
+                 for r in QUERIES["op9_line_dedup_lines"].run(spark, str(tmp_path)).collect())
+    assert got == brute_lines([r[:2] for r in rows], 1) and [r[2] for r in got] == [0, 1, 1, 1, 1]
