@@ -122,8 +122,8 @@ def _plan(rows: DataFrame, limits: dict, block_tokens: int, seed: int) -> tuple[
     placed = (read.withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
               .join(earlier, ["source", "pass", "bucket"])
               .withColumn("start", F.col("pass") * F.col("tokens") + F.col("earlier") + F.col("inside")))
-    # a source without tokens is read once, all at position 0
-    kept = placed.where((F.col("tokens") == 0) | (F.col("start") < F.col("passes") * F.col("tokens")))
+    # whole passes keep every row, also texts without tokens at their end; the last one is cut if it is read in part
+    kept = placed.where((F.col("pass") + 1 <= F.col("passes")) | (F.col("start") < F.col("passes") * F.col("tokens")))
     return mix, kept.withColumn("block", F.floor(F.col("start") / F.col("quota")).cast("long"))
 
 

@@ -70,6 +70,17 @@ def test_schedule_is_a_permutation_of_every_pass(spark, monkeypatch, bucket_rows
     assert a == Counter((r["doc_id"], r["source"] or "") for r in out.collect())
 
 
+def test_texts_without_tokens_at_the_end_of_a_pass_stay(spark):
+    rows = [(i, prose(__import__("random").Random(i), 9) if i < 4 else [None, "", " \n"][i % 3], "en",
+             "big" if i % 2 else "small", 0) for i in range(60)]
+    rows += [(100, prose(__import__("random").Random(9), 60), "en", "big", 0)]
+    rows += [(None, None, "en", "big", 0)] * 3
+    docs = spark.createDataFrame(rows, DOCS)
+    first = Counter(r["doc_id"] for r in schedule(docs, max_passes=2.0).collect() if r["pass"] == 0)
+    assert first == Counter(r[0] for r in rows)
+    assert not Counter(r[0] for r in rows) - Counter(r["doc_id"] for r in mixed(docs, max_passes=2.0).collect())
+
+
 def test_blocks_hold_the_weights(spark):
     docs = spark.createDataFrame([(i, prose(__import__("random").Random(i), 20), None, "big" if i % 5 else "small", 0)
                                   for i in range(2000)], DOCS)
