@@ -97,7 +97,8 @@ def key(doc_id: Column, nth: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
-def _plan(rows: DataFrame, limits: dict, block_tokens: int, seed: int) -> tuple[Mix, DataFrame]:
+def _plan(rows: DataFrame, limits: dict, block_tokens: int, seed: int, whole: DataFrame | None = None) -> DataFrame:
+    """The readings of ``rows``, or of ``whole``: the same rows with more columns."""
     sources = (rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
                .limit(MOST_SOURCES + 1).collect())
     if len(sources) > MOST_SOURCES:
@@ -108,29 +109,35 @@ def _plan(rows: DataFrame, limits: dict, block_tokens: int, seed: int) -> tuple[
         [(r["source"], r["tokens"], mix.passes[r["source"]], max(mix.weights[r["source"]] * block_tokens, 1e-9),
           max(1, min(MOST_BUCKETS, r["docs"] // BUCKET_ROWS))) for r in sources],
         "source string, tokens long, passes double, quota double, buckets int")
-    # one row per source, at most MOST_SOURCES
-    read = (rows.join(F.broadcast(table), "source")
-            .withColumn("pass", F.explode(F.sequence(F.lit(0), F.greatest(
-                F.ceil("passes").cast("int") - 1, F.lit(0)))))
-            .withColumn("key", key(F.col("doc_id"), F.col("pass"), seed))
-            .withColumn("bucket", F.shiftright(F.shiftright("key", 30) * F.col("buckets"), 30)))
+
+    def read(frame: DataFrame) -> DataFrame:
+        # one row per source, at most MOST_SOURCES
+        return (frame.join(F.broadcast(table), "source")
+                .withColumn("pass", F.explode(F.sequence(F.lit(0), F.greatest(
+                    F.ceil("passes").cast("int") - 1, F.lit(0)))))
+                .withColumn("key", key(F.col("doc_id"), F.col("pass"), seed))
+                .withColumn("bucket", F.shiftright(F.shiftright("key", 30) * F.col("buckets"), 30)))
+
     before = Window.partitionBy("source", "pass").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = (read.groupBy("source", "pass", "bucket").agg(F.sum("n_tokens").alias("sum"))
+    earlier = (read(rows).groupBy("source", "pass", "bucket").agg(F.sum("n_tokens").alias("sum"))
                .select("source", "pass", "bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("earlier")))
     within = (Window.partitionBy("source", "pass", "bucket").orderBy("key", "doc_id", "n_tokens")
               .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (read.withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
+    placed = (read(rows if whole is None else whole).withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
               .join(earlier, ["source", "pass", "bucket"])
               .withColumn("start", F.col("pass") * F.col("tokens") + F.col("earlier") + F.col("inside")))
     # whole passes keep every row, also texts without tokens at their end; the last one is cut if it is read in part
     kept = placed.where((F.col("pass") + 1 <= F.col("passes")) | (F.col("start") < F.col("passes") * F.col("tokens")))
-    return mix, kept.withColumn("block", F.floor(F.col("start") / F.col("quota")).cast("long"))
+    return kept.withColumn("block", F.floor(F.col("start") / F.col("quota")).cast("long"))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("source"),
+                       n_words(F.col(f"`{text_col}`")).alias("n_tokens"), *more)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return materialize(docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                                   F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("source"),
-                                   n_words(F.col(f"`{text_col}`")).alias("n_tokens")), "mix_rows")
+    return materialize(_named(docs, id_col, text_col, source_col), "mix_rows")
 
 
 def schedule(docs: DataFrame, block_tokens: int = 1 << 18, seed: int = 11, id_col: str = "doc_id",
@@ -144,32 +151,22 @@ def schedule(docs: DataFrame, block_tokens: int = 1 << 18, seed: int = 11, id_co
     to each other.  An empty table gives an empty result.  ``limits``: see
     ``solve``.
     """
-    _, plan = _plan(_rows(docs, id_col, text_col, source_col), limits, block_tokens, seed)
+    plan = _plan(_rows(docs, id_col, text_col, source_col), limits, block_tokens, seed)
     return plan.select("doc_id", "source", F.col("pass").cast("int").alias("pass"), "n_tokens", "start", "block")
 
 
 def mixed(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", text_col: str = "text",
-          source_col: str = "source", **limits) -> DataFrame:
+          source_col: str = "source", block_tokens: int = 1 << 18, **limits) -> DataFrame:
     """The input rows, each as often as ``schedule`` reads it, with the input
-    columns alone.
-
-    Whole passes need no position.  Of the last pass a source reads the rows up
-    to a cut in its permutation: one value per source, so texts are not moved."""
-    mix, plan = _plan(_rows(docs, id_col, text_col, source_col), limits, 1, seed)
-    last = plan.where((F.col("pass") == F.ceil("passes").cast("int") - 1) & (F.col("tokens") > 0))
-    cuts = last.groupBy("source").agg(
-        F.max(F.struct("key", F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("cut"))
-    spark = docs.sparkSession
-    whole = spark.createDataFrame([(k, max(0, math.ceil(v) - 1) if mix.tokens[k] else 1) for k, v in mix.passes.items()],
-                                  "name string, whole int")
-    table = materialize(whole.join(cuts, whole.name == cuts.source, "left").select("name", "whole", "cut"), "mix_cuts")
-    id_of = F.col("row").getField(id_col)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("name"))
-    place = F.struct(key(id_of, F.col("whole"), seed).alias("key"), id_of.isNotNull().alias("known"),
-                     id_of.alias("doc_id"))
-    # one row per source, at most MOST_SOURCES
-    counted = rows.join(F.broadcast(table), "name").withColumn(
-        "times", F.col("whole") + F.when(place <= F.col("cut"), 1).otherwise(0))
-    return (counted.where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    columns alone, in the order of the reading: partitions and the rows within
+    them go by block, and in a block by how much of its part of the block a
+    source has given, which keeps every pass's permutation.
+
+    Texts are moved twice: to the buckets of their passes, and to the order."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    plan = _plan(_rows(docs, id_col, text_col, source_col), limits, block_tokens, seed,
+                 _named(docs, id_col, text_col, source_col, row))
+    # the block is the whole part of ``at``; readings without tokens before them share one and go by key
+    return (plan.withColumn("at", F.col("start") / F.col("quota")).repartitionByRange("at", "key")
+            .sortWithinPartitions("at", "key", "doc_id")
             .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
