@@ -184,6 +184,15 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select("b", "b").distinct())
 
 
+def _named(hashed: DataFrame, bits: int) -> DataFrame:
+    """``fp``, the ``least`` doc_id of each fingerprint, and the ``root`` that
+    names its component."""
+    nodes = materialize(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_nodes")
+    roots = components(links(nodes.select("fp"), bits))
+    return (nodes.join(roots, nodes.fp == roots.node, "left")
+            .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    bits: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.
@@ -195,10 +204,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat an id keep a row each.  Other input columns are not read.
     """
     hashed = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash_fp")
-    nodes = materialize(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_nodes")
-    roots = components(links(nodes.select("fp"), bits))
-    named = (nodes.join(roots, nodes.fp == roots.node, "left")
-             .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    named = _named(hashed, bits)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     label = named.join(least, "root").select("fp", "component_id")
     return (hashed.join(label, "fp")
@@ -207,12 +213,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     bits: int = 3) -> DataFrame:
-    """The input rows without near duplicates: of each group the document of
-    the smallest id stays.  Ids name documents, so rows that repeat the id of a
-    document that stays all stay; so do rows without an id, which no group can
-    name."""
-    groups = simhash_groups(docs, id_col, text_col, shingle, bits)
-    stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__stays")).distinct()
+    """The input rows without near duplicates: of each group the row of the
+    smallest id stays (null ids last), of several with that id the one whose
+    text has the smallest SHA-256, and one of those that share it too.  A null
+    text counts as empty."""
     named = F.col(f"`{id_col}`")
-    return (docs.where(named.isNotNull()).join(stay, named == F.col("__stays"), "left_semi")
-            .unionByName(docs.where(named.isNull())))
+    # names a row but for those equal in id and text; a null id adds nothing to it
+    name = F.concat_ws("|", F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256), named.cast("string")).alias("name")
+    places = docs.select(F.struct(named.isNull().alias("unknown"), named.alias("id"), name).alias("place"),
+                         F.col(f"`{text_col}`").alias("text"))
+    hashed = materialize(fingerprints(places, "place", "text", shingle), "simhash_fp")
+    stay = _named(hashed, bits).groupBy("root").agg(F.min("least").alias("least")).select("least.name")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name)
+    # the same join at every size; its partitions are those of the window
+    nth = F.row_number().over(Window.partitionBy("name").orderBy("name"))
+    return (rows.join(stay.hint("merge"), "name", "left_semi").withColumn("nth", nth).where("nth = 1")
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

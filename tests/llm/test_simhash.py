@@ -7,7 +7,7 @@ from helpers import DOCS, clashing, edge_docs, edge_rows
 from pyspark.sql import functions as F
 
 from recolake.llm import simhash
-from recolake.llm.simhash import components, fingerprint, links, simhash_groups
+from recolake.llm.simhash import components, fingerprint, links, representatives, simhash_groups
 
 
 def brute_fp(text, k=3):
@@ -101,3 +101,16 @@ def test_empty_table_and_null_ids(spark):
     assert simhash_groups(spark.createDataFrame([], DOCS)).count() == 0
     rows = simhash_groups(edge_docs(spark, null_id=True)).where(F.col("doc_id").isNull()).collect()
     assert len(rows) == 1 and rows[0]["component_id"] is None
+
+
+def test_one_row_of_each_group_stays(spark):
+    near, other, lone = (" ".join(f"{w}{i}" for i in range(300)) for w in "abc")
+    rows = [(None, near, "en", "s", 0), (None, near + " ", "en", "s", 1), (None, other, "en", "s", 2),
+            (5, near, "en", "s", 3), (4, near + "  ", "en", "s", 4), (4, near, "en", "s", 5), (4, near, "en", "s", 6),
+            (4, other, "en", "s", 7), (3, other + " ", "en", "s", 8), (None, lone, "en", "s", 9),
+            (None, lone + " ", "en", "s", 10), (None, None, "en", "s", 11), (None, "", "en", "s", 12)]
+    docs = clashing(spark.createDataFrame(rows, DOCS))
+    out = representatives(docs)
+    assert out.columns == docs.columns
+    got = sorted((str(r["doc_id"]), (r["text"] or "").strip()) for r in out.collect())
+    assert got == sorted([("4", near), ("3", other), ("None", lone), ("None", "")])
