@@ -26,7 +26,7 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARK = re.escape("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"))
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 _WORD = re.compile(f"[{_LETTER}]+").fullmatch
-_SIMPLE = re.compile(f"(?:[{_LETTER}]+|[{_MARK}]+|(?<!^)\n(?=[{_LETTER}{_MARK}]))+").fullmatch
+_SIMPLE = re.compile(f"(?:[{_LETTER}]++|[{_MARK}]++|(?<!^)\n(?=[{_LETTER}{_MARK}]))+").fullmatch
 _UNITS = re.compile(f"[{_LETTER}]+|[{_MARK}]+|\n").findall
 
 
@@ -42,7 +42,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts are cut at the strings of added tokens first, as the library does
+        self.tokenizer.encode_special_tokens = True
+        self.added = {t.content: array("i", [i]).tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})").split
         self.model = self.tokenizer.model
         # how the model sees a space before a unit, each letter, and a line end
         self.lead = self._seen(" a")[:-1]
@@ -112,6 +115,13 @@ class Encoder:
         return table
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if not any(a in t for a in self.added for t in texts):
+            return self._ordinary(texts)
+        parts = [self.cut(t) if any(a in t for a in self.added) else [t] for t in texts]  # each second one is added
+        ids = iter(self._ordinary([s for p in parts for s in p[::2]]))
+        return [b"".join([self.added[s] if k % 2 else next(ids) for k, s in enumerate(p)]) for p in parts]
+
+    def _ordinary(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
         pieces = set().union(*split)
         unclean = {p for p in pieces if _unclean(p)}

@@ -17,7 +17,7 @@ from recolake.session import scratch_path
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ENC = {p: Encoder(p) for p in (BYTE, WORD)}
-PLAIN = {}
+PLAIN, LIBRARY = {}, {}  # LIBRARY: as it comes
 for _p in (BYTE, WORD):
     PLAIN[_p] = Tokenizer.from_file(_p)
     PLAIN[_p].encode_special_tokens = True
@@ -36,6 +36,18 @@ def test_pieces_give_the_ids_of_the_whole_text(path, text):
     assert np.frombuffer(got, "<i4").tolist() == plain(path, text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@settings(max_examples=500, deadline=None)
+@given(parts=st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", " "]),
+                                st.text(alphabet=" \n\taBé's1.,<|>", max_size=8)), max_size=8))
+def test_added_tokens_in_a_text_are_those_of_the_plain_library(path, parts):
+    texts = ["", "".join(parts), "a<|endoftext|>b", "a b"]
+    library = Tokenizer.from_file(path) if path not in LIBRARY else LIBRARY[path]
+    LIBRARY[path] = library
+    got = [np.frombuffer(b, "<i4").tolist() for b in ENC[path].encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_a_small_piece_table_changes_nothing(path, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE", 10)
