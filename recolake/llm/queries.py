@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recolake.llm import language_id
-from recolake.llm.common import crc_of_id
+from recolake.llm.common import WS, crc_of_id
 from recolake.llm.exact_dedup import content_sort_dedup
+from recolake.llm.filter_audit import filter_audit
 from recolake.llm.line_dedup import line_dedup
 from recolake.llm.mixing import schedule
 from recolake.llm.packing import pack
+from recolake.llm.periodic_runs import periodic_runs
 from recolake.llm.quality_classifier import classify
 from recolake.llm.quality_rules import score_quality
 from recolake.llm.simhash import simhash_groups
 from recolake.llm.substring_dedup import substring_dedup
 from recolake.llm.token_table import read_tokens, with_ids_crc32, write_tokens
+from recolake.llm.toxicity import score_toxicity
 from recolake.plans.registry import Query
 from recolake.session import scratch_path
 
@@ -173,3 +176,73 @@ FROM d LEFT JOIN g USING (doc_id)
 @register("op4_substring_dedup", OP4_SQL)
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), window=50)
+
+
+@register("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          held_out=crc_of_id() % 4 == 2)
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+             + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+             + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (least < w.doc_id)::INT AS mask
+      FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+c AS (SELECT unnest(range(1, 6)) AS i, substr('ABCDE', i, 1) AS name, 1 << (i - 1) AS bit),
+o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS filters,
+             [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM c a JOIN c b ON b.i <> a.i JOIN c ON c.i NOT IN (a.i, b.i)
+      JOIN c d ON d.i NOT IN (a.i, b.i, c.i) JOIN c e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+s AS (SELECT *, unnest(range(1, 6)) AS step FROM o),
+b AS (SELECT filter_order, step, filters[step] AS filter, bits[step] AS bit,
+             coalesce(list_sum(bits[:step - 1]), 0)::INT AS earlier FROM s),
+r AS (SELECT part, filter_order, step::INT AS step, filter,
+             coalesce(sum(n) FILTER (mask & (bit | earlier) = 0), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier > 0), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS toxic_lost
+      FROM m CROSS JOIN b GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r
+"""
+
+
+@register("op12_filter_audit", OP12_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents (by h = crc32 of the id) word i >= a becomes
+    word a + (i - a) % p, with g = h div 10, a = g % n and
+    p = 1 + (n - a) div (3 + g % 8)."""
+    h = crc_of_id()
+    words = F.array_remove(F.split("text", WS + "+"), "")
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    rest = n - a
+    p = (F.lit(1) + F.floor(rest / (F.lit(3) + g % 8))).cast("int")
+    cycle = F.slice(words, a + 1, p)
+    repeated = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(rest / p).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), repeated), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), planted).otherwise(F.col("text")))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return periodic_runs(docs, min_length=6, min_exponent=4).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.start.alias("start"), best.length.alias("length"),
+        best.period.alias("period"), F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"))
