@@ -39,7 +39,7 @@ _SYMBOL[128:] = 27 + np.arange(128, 0x110000) % 4
 _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[32] = _EDGE
 _SYMBOL[0] = 0
-_END = re.compile(r"[.!?\n]+")
+_END = re.compile(r"[.!?]+(?=\s|$)|\n")  # not inside of a word: letters may be set apart by points
 # places of the second to last symbol, by the number of places left out
 _PLACES = [[c for c in combinations(range(1, REACH), ORDER - 1) if c[-1] == ORDER - 1 + g] for g in range(REACH - ORDER + 1)]
 CODES = 1 << (5 * ORDER)

@@ -1,0 +1,123 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from recolake.llm.periodic_runs import collapse, find_runs, lcp_floor, periodic_runs, strongest, suffix_edges
+from recolake.llm.queries import QUERIES
+from helpers import clashing, edge_docs
+
+
+def brute_runs(w, min_length=6, min_exponent=4):
+    """Every maximal stretch with smallest period q, tried at every start."""
+    out, n = [], len(w)
+    for s in range(n):
+        for q in range(1, n - s):
+            e = s + q
+            while e < n and w[e] == w[e - q]:
+                e += 1
+            if e - s < max(min_length, min_exponent * q) or (s and w[s - 1] == w[s - 1 + q]):
+                continue
+            if not any(all(w[i] == w[i - d] for i in range(s + d, e)) for d in range(1, q)):
+                out.append((s, e - s, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def random_text(rng, longest=60):
+    k = rng.choice((1, 2, 3, 5))
+    w = [rng.randrange(k) for _ in range(rng.randrange(longest))]
+    for _ in range(rng.randrange(3)):
+        unit = [rng.randrange(k + 1) for _ in range(rng.randrange(1, 8))]
+        at = rng.randrange(len(w) + 1)
+        w[at:at] = (unit * 9)[:rng.randrange(1, 60)]
+    return w
+
+
+@pytest.mark.parametrize("size", [(6, 4), (2, 2), (5, 3), (1, 2), (10, 2)])
+def test_runs_equal_brute_force(size):
+    rng = random.Random(sum(size))
+    for _ in range(150):
+        texts = [random_text(rng) for _ in range(rng.randrange(1, 5))]
+        words = np.array([x for t in texts for x in t], dtype=np.int64)
+        runs = find_runs(words, np.repeat(np.arange(len(texts)), [len(t) for t in texts]), *size)
+        for k, t in enumerate(texts):
+            assert runs.get(k, []) == brute_runs(t, *size), (t, size)
+
+
+def test_edges_are_common_prefixes():
+    rng = random.Random(4)
+    for _ in range(60):
+        w = random_text(rng)
+        a, b, lcp = suffix_edges(np.array(w, dtype=np.int64), np.zeros(len(w), dtype=np.int64), 2)
+        assert (np.diff(lcp) <= 0).all()
+        for i, j, n in zip(a, b, lcp):
+            i, j = int(i), int(j)
+            assert w[i:i + n] == w[j:j + n] and n >= 2
+            assert max(i, j) + n == len(w) or w[i + n] != w[j + n]
+
+
+def test_floor_loses_no_run():
+    for size in ((6, 4), (2, 2), (7, 3), (1, 2), (40, 4)):
+        seeds = [length - p for p in range(1, 60) for length in range(max(size[0], size[1] * p), 200)]
+        assert min(seeds) == lcp_floor(*size)
+
+
+def test_long_texts():
+    one = np.zeros(1, dtype=np.int64)
+    for w, runs in ((np.zeros(200_000, dtype=np.int64), [(0, 200_000, 1)]),
+                    (np.arange(200_000) % 1000, [(0, 200_000, 1000)]),
+                    (np.repeat(np.arange(100), 2000), [(2000 * i, 2000, 1) for i in range(100)])):
+        assert find_runs(w, np.repeat(one, len(w)))[0] == runs
+
+
+def test_strongest_compares_exactly():
+    assert strongest([(0, 9, 2), (20, 14, 3), (40, 28, 6)]) == (20, 14, 3)
+    assert strongest([(5, 8, 2), (1, 12, 3), (1, 16, 4)]) == (1, 12, 3)
+
+
+def expected(doc_id, text):
+    w = (text or "").encode().split()
+    h = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    g, n = h // 10, len(w)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(w)
+    best = strongest(runs) if runs else (None, None, None)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(collapse(w, runs)).hexdigest())
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{x}" for x in random_text(rng, 40))) for i in range(120)]
+    rows += [(200, None), (210, ""), (220, " \n\t"), (230, "a\n a\ta a a  a b"), (240, "é é é é é é é"), (250, "x " * 400)]
+    rows.append(rows[3])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op13_periodic_runs"].run(spark, str(tmp_path)).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256").collect()
+    key = lambda r: (r[0], r[6])
+    assert sorted(map(tuple, got), key=key) == sorted((expected(*r) for r in rows), key=key)
+
+
+def test_edges(spark):
+    docs = edge_docs(spark, null_id=True)
+    out = periodic_runs(clashing(docs))
+    assert out.columns == ["doc_id", "n_words", "runs", "strongest", "kept_text"]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    plain = sorted(docs.select("doc_id", "text").collect(), key=key)
+    for r, (i, text) in zip(sorted(out.collect(), key=key), plain, strict=True):
+        words = (text or "").encode().split()
+        runs = [tuple(x) for x in r.runs]
+        assert (r.doc_id, r.n_words) == (i, len(words)) and runs == (brute_runs(words) if len(words) < 500 else runs)
+        assert r.kept_text == collapse(words, runs).decode()
+        assert (r.strongest is None) == (not runs)
+    assert periodic_runs(docs.limit(0)).collect() == []
+    named = docs.select(F.col("doc_id").alias("a.b"), F.col("text").alias("body"))
+    assert periodic_runs(named, "a.b", "body").count() == docs.count()
