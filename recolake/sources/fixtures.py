@@ -91,6 +91,32 @@ ITEM_FACTORS_SQL = """item_factors AS (
   SELECT CAST(vec_id AS INTEGER) AS id, embedding AS features FROM embeddings)"""
 
 
+# Weight of the label's direction in ``clustered_factors``.
+CLUSTER_PULL = 1.2
+
+
+def clustered_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item factors, each pulled towards the mean direction of its label:
+    vectors in clusters, as those of a trained model are."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("id"), "label", "embedding")
+    mean = (e.select("label", F.posexplode("embedding").alias("pos", "x")).groupBy("label", "pos")
+            .agg(F.avg(F.col("x").cast("double")).alias("x")).groupBy("label")
+            .agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("m"),
+                 F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm")))
+    return e.join(mean, "label").select("id", F.zip_with(
+        "embedding", "m", lambda x, m: x.cast("double") + CLUSTER_PULL * m["x"] / F.col("norm")).alias("features"))
+
+
+CLUSTERED_FACTORS_SQL = f"""elements AS (
+  SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+means AS (
+  SELECT label, pos, m / sqrt(sum(m * m) OVER (PARTITION BY label)) AS m
+  FROM (SELECT label, pos, avg(x) AS m FROM elements GROUP BY label, pos)),
+clustered AS (
+  SELECT CAST(vec_id AS INTEGER) AS id, list(x + {CLUSTER_PULL} * m ORDER BY pos) AS features
+  FROM elements JOIN means USING (label, pos) GROUP BY vec_id)"""
+
+
 # ---------------------------------------------------------------- streams
 def rating_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating events rendered as stream records (key, value JSON)."""
