@@ -92,7 +92,7 @@ ITEM_FACTORS_SQL = """item_factors AS (
 
 
 # Weight of the label's direction in ``clustered_factors``.
-CLUSTER_PULL = 1.2
+CLUSTER_PULL = 2.0
 
 
 def clustered_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
