@@ -16,7 +16,7 @@ At most 8 P texts can be that frequent, which bounds the broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recolake.llm.common import WS, packed, unpacked, width
@@ -35,6 +35,20 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     group of null ids has a null ``keep_id``; an empty table gives an empty
     result.  Rows that repeat an id and a text are copies like any others.
     """
+    runs, out = _runs(docs, id_col, text_col)
+    return unpacked(runs, docs, out)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, with their columns as they are, that have ``kept`` in
+    ``content_sort_dedup``."""
+    runs, out = _runs(docs, id_col, text_col)
+    return unpacked(runs.where(out["kept"]), docs, {})
+
+
+def _runs(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows (``row``: the input columns) at their places in the runs, and the
+    output columns as expressions of them."""
     src = packed(docs, id_col, text_col)
     norm = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), f"{WS}+", "")
     size = F.char_length(F.coalesce(F.col("text"), F.lit("")))
@@ -64,9 +78,9 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alone = F.col("copies").isNull()
     # the rows of one id share a slot, so one slot of a hot text holds the winner
     wins = F.col("first").eqNullSafe(F.col("best"))
-    return unpacked(runs, docs, {
+    return runs, {
         "keep_id": F.when(alone, F.col("first.c")).otherwise(F.col("best.c")),
         "group_size": F.coalesce(F.col("copies"), F.col("members")).cast("long"),
         "kept": (F.col("place") == 1) & F.when(alone, F.lit(True)).otherwise(wins),
         "text_sha256": F.col("sha"),
-    })
+    }

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAMS = (2, 3, 4)
@@ -125,15 +125,25 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], buckets: int, dim: int
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         per_lang: int = 1000, buckets: int = 1 << 14, **options) -> Model:
     """Model of the rows for which ``learn`` (an expression of ``doc_id``)
-    holds, ``lang`` is known and the text has a letter."""
+    holds, ``lang`` is known and the text has a letter.
+
+    Learns from at most ``per_lang`` rows of a language, picked by a hash of id
+    and text, so the sample does not depend on the partitions; rows that repeat
+    id, text and language count once, and rows without an id like any other."""
     src = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        F.col(f"`{lang_col}`").alias("lang"))
-           .where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    counts = {r["lang"]: r["count"] for r in src.groupBy("lang").count().collect()}  # one row per language
+           .where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+           .withColumn("h", F.xxhash64("doc_id", "text")))
+    counts = {r["lang"]: r["n"] for r in src.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return train([], buckets, **options)
-    share = F.create_map(*[F.lit(v) for k, c in counts.items() for v in (k, min(1.0, per_lang / c))])
-    picked = src.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    # one row per language; a margin of 8 leaves per_lang rows with certainty
+    share = F.create_map(*[F.lit(v) for k, c in counts.items() for v in (k, min(1.0, 8.0 * per_lang / max(1, c)))])
+    some = src.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = some.select("lang", "h").distinct().withColumn("nth", nth).where(F.col("nth") <= per_lang).drop("nth")
+    # at most per_lang rows of a language
+    picked = some.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,3 +184,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out: str = "
 
     udf = F.arrow_udf(judge, "struct<lang_pred: string, score: double, rejected: boolean>")
     return docs.withColumn(out, udf(F.col(f"`{text_col}`")))
+
+
+def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The input rows, with their columns as they are, whose language is not
+    rejected (see ``identify``)."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{text_col}`").alias("text"))
+    return (identify(rows, model).where("not language.rejected")
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

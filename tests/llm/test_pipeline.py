@@ -2,7 +2,8 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import DOCS, edge_docs, prose
+from helpers import DOCS, clashing, edge_docs, prose
+from pyspark.sql import functions as F
 from test_simhash import brute_fp, brute_roots
 from test_tokens import WORD, check_packed, plain
 
@@ -78,3 +79,27 @@ def test_stages_take_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         at = stage(spark, at, "")
         assert at.count() == 0
+
+
+def test_stages_keep_their_input_columns(spark):
+    """Columns named like outputs or working columns, a name with a dot, null
+    and repeated ids, a text of a megabyte: what a stage keeps is as it was."""
+    docs = edge_docs(spark, n=60, null_id=True)
+    more = [(None, "another row without an id", None, None, 0), (7, "the id seven once more, another text", "en", "s1", 1),
+            (900, "word " * 200_000, "en", "s2", 1)]
+    docs = clashing(docs.unionAll(spark.createDataFrame(more, docs.schema)))
+    for c in ("group_size", "text_sha256", "language_of_row", "language", "name", "nth", "h", "lang_pred"):
+        docs = docs.withColumn(c, F.concat(F.lit("mine "), F.col("doc_id").cast("string")))
+    docs = materialize(docs.withColumn("a.b", F.col("n_chars") + 1), "pipeline_clashing")
+    key = lambda r: tuple(map(str, r))
+    at, before = docs, {key(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = materialize(stage(spark, at, ""), "stage")
+        assert at.schema.simpleString() == docs.schema.simpleString(), name
+        rows = {key(r) for r in at.collect()}
+        assert rows and rows <= before, name
+        before = rows
+    pieces = corpus_pipeline.STAGES[-1][1](spark, at, "").collect()
+    check_packed(pieces, corpus_pipeline.SEQUENCE)
+    assert {p["doc_id"] for p in pieces} == {r["doc_id"] for r in at.collect()}
+    assert None in {p["doc_id"] for p in pieces}
