@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recolake.llm import language_id
 from recolake.llm.common import crc_of_id
-from recolake.llm.exact_dedup import content_sort_dedup
+from recolake.llm.exact_dedup import without_copies
 from recolake.llm.mixing import mixed
 from recolake.llm.packing import pack
 from recolake.llm.simhash import representatives
@@ -29,13 +29,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     those under the calibrated threshold."""
     ship_package(spark)
     model = language_id.fit(docs, crc_of_id() % 4 != 2)
-    out = "language_of_row"
-    return (language_id.identify(docs, model, out=out).where(f"NOT {out}.rejected").select(*docs.columns))
+    return language_id.recognised(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents equal but for white space, the longest one stays."""
-    return content_sort_dedup(docs).where("kept").select(*docs.columns)
+    return without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
