@@ -39,6 +39,7 @@ def main(argv=None) -> None:
     ap.add_argument("--rows", type=int, default=20)
     ap.add_argument("--checkpoint", default=None)
     ap.add_argument("--interval", default="5 seconds")
+    ap.add_argument("--incremental", action="store_true", help="dws-rating: read new partitions only")
     ap.add_argument("--only-date", action="store_true", help="view: only the --date partition")
     a = ap.parse_args(argv)
 
@@ -53,7 +54,7 @@ def main(argv=None) -> None:
                            upper=a.jdbc_upper, num_partitions=a.jdbc_partitions)
         jobs.dim_movie_job(lake, movies, a.date)
     elif a.job == "dws-rating":
-        jobs.dws_rating_job(lake, a.date)
+        (jobs.dws_rating_incremental_job if a.incremental else jobs.dws_rating_job)(lake, a.date)
     elif a.job == "dws-movie-rating":
         jobs.dws_movie_rating_job(lake, a.date)
     elif a.job == "als-predictor":

@@ -23,6 +23,26 @@ def avg_score(ratings: DataFrame) -> DataFrame:
             .groupBy("mid").agg(F.avg("score").alias("avg")))
 
 
+def partials(ratings: DataFrame, part_col: str = "date") -> DataFrame:
+    """(mid, yearmonth, n, total, part_col): non-null scores and their sum by
+    movie, month and partition of the input.  They merge to every statistic
+    above, so a partition is aggregated once."""
+    return (ratings.filter(F.col("mid").isNotNull())
+            .groupBy("mid", F.date_format("time", "yyyy-MM").alias("yearmonth"), part_col)
+            .agg(F.count("score").alias("n"), F.sum("score").alias("total")))
+
+
+def merged_by_month(stored: DataFrame) -> DataFrame:
+    """``count_by_month`` of the ratings behind stored partials, with the
+    months' sums as ``total``."""
+    return stored.groupBy("mid", "yearmonth").agg(F.sum("n").alias("rating_count"), F.sum("total").alias("total"))
+
+
+def merged_avg(by_month: DataFrame) -> DataFrame:
+    """``avg_score`` from ``merged_by_month``; null without a score."""
+    return by_month.groupBy("mid").agg(F.try_divide(F.sum("total"), F.sum("rating_count")).alias("avg"))
+
+
 def explode_genres(movies: DataFrame) -> DataFrame:
     """One row per (movie, genre); genres split on '|', untrimmed.  Movies
     with null genres produce no rows."""

@@ -78,6 +78,44 @@ def multi_get(kv: DataFrame, keys: DataFrame, columns: list | None = None,
     return newest(out, versions).select(*kv.columns)
 
 
+# Parquet settings of a stored cell table: row groups and pages small enough that
+# a key range or a single key touches few of them, and a bloom filter per row
+# group for keys that its bounds do not rule out.
+STORED = {
+    "parquet.block.size": 16 << 20,
+    "parquet.page.size": 64 << 10,
+    "parquet.page.row.count.limit": 2000,
+    "parquet.bloom.filter.enabled#rowkey": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+LOOKUP_KEYS = 1000  # keys that are looked up by a filter; more are joined
+
+
+def store(kv: DataFrame, path: str, partitions: int | None = None, layout: dict | None = None) -> None:
+    """Write cells in the order of their addresses, newest version first: files
+    hold consecutive key ranges.  A row key over many cells spreads over files
+    by family, qualifier and ts."""
+    width = partitions or int(kv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*ADDRESS, F.col("ts").desc()]
+    (kv.repartitionByRange(width, *order).sortWithinPartitions(*order).write
+     .options(**{k: str(v) for k, v in (STORED | (layout or {})).items()}).parquet(path))
+
+
+def lookup(stored: DataFrame, keys: DataFrame, columns: list | None = None, key_col: str = "rowkey",
+           versions: int = 1) -> DataFrame:
+    """``multi_get`` on a stored table.  Up to LOOKUP_KEYS distinct keys become a
+    filter of the scan, so bounds, page indexes and bloom filters leave out what
+    holds none of them; more keys are met in a join, over the range they span."""
+    wanted = keys.select(F.col(key_col).alias("rowkey")).where("rowkey is not null").distinct()
+    few = [r[0] for r in wanted.limit(LOOKUP_KEYS + 1).collect()]  # bounded
+    if len(few) <= LOOKUP_KEYS:
+        out = stored.where(F.col("rowkey").isin(few))
+        return newest(out.where(_named(columns)) if columns else out, versions).select(*stored.columns)
+    low, high = wanted.agg(F.min("rowkey"), F.max("rowkey")).first()
+    return multi_get(stored.where((F.col("rowkey") >= low) & (F.col("rowkey") <= high)), wanted, columns,
+                     versions=versions)
+
+
 def upsert(kv: DataFrame, puts: DataFrame, versions: int = 5) -> DataFrame:
     """Apply puts and keep the newest ``versions`` versions of every cell.
     Adds ``version`` (1 = newest).  A put replaces a stored version of the same

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recolake.operators import kv
 from recolake.plans.registry import register
+from recolake.session import scratch_path
 from recolake.sources import fixtures as fx
 from recolake.sources.fixtures import KV_SQL, with_ctes
 
@@ -77,6 +78,32 @@ def kv_multi_get(spark, sf_dir):
         "rowkey", "family", "qualifier", "value")
 
 
+def _stored(spark, sf_dir):
+    """The cells as a stored table in key order."""
+    path = scratch_path(spark, "cells")
+    kv.store(_cells(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("kv_stored_range", with_ctes(KV_SQL, _PUTS_SQL, _CELLS_SQL) + f"""
+SELECT rowkey, family, qualifier, value FROM newest
+WHERE rowkey >= '{START}' AND rowkey < '{STOP}'
+  AND (family, qualifier) IN (('info', 'c_acctbal'), ('info', 'last_order'))""")
+def kv_stored_range(spark, sf_dir):
+    return kv.range_scan(_stored(spark, sf_dir), START, STOP, [("info", "c_acctbal"), ("info", "last_order")]).select(
+        "rowkey", "family", "qualifier", "value")
+
+
+@register("kv_stored_lookup", with_ctes(KV_SQL, _PUTS_SQL, _CELLS_SQL) + """
+SELECT rowkey, family, qualifier, value FROM newest
+WHERE rowkey IN (SELECT c_name FROM customer WHERE c_acctbal > 9900)
+  AND ((family = 'log' AND qualifier = 'last_order') OR qualifier = 'c_acctbal')""")
+def kv_stored_lookup(spark, sf_dir):
+    keys = fx.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 9900).select(F.col("c_name").alias("rowkey"))
+    return kv.lookup(_stored(spark, sf_dir), keys, [("log", "last_order"), "c_acctbal"]).select(
+        "rowkey", "family", "qualifier", "value")
+
+
 @register("kv_upsert_latest", with_ctes(KV_SQL, _PUTS_SQL) + """
 SELECT rowkey, family, qualifier, value, ts, CAST(version AS INTEGER) AS version FROM (
   SELECT *, dense_rank() OVER (PARTITION BY rowkey, family, qualifier ORDER BY ts DESC) AS version,

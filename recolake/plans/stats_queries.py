@@ -186,3 +186,78 @@ def ods_tag_ingest(spark, sf_dir):
     ingest(lake, read_events(spark, "tag", fmt="json", path=f"{root}/events"), "Tag", RUN_DATE)
     t = lake.read("ods", "Tag")
     return t.select("uid", "mid", "tag", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"), "date")
+
+
+LOG_PARTITIONS = 4
+
+# Records in the order of their event, in partitions by event id.
+_LOG_SQL = f"""logged AS (
+  SELECT *, event_id % {LOG_PARTITIONS} AS partition,
+         row_number() OVER (PARTITION BY event_id % {LOG_PARTITIONS} ORDER BY event_id) - 1 AS "offset" FROM ratings_e)"""
+
+
+def _event_log(spark, sf_dir):
+    """Folder of the rating records as a log, appended in two parts."""
+    from recolake.session import scratch_path
+    from recolake.sources.event_log import append_records
+
+    root = scratch_path(spark, "event_log")
+    recs = fx.rating_json(spark, sf_dir).withColumn("_id", F.col("key").cast("long"))
+    recs = recs.withColumn("partition", (F.col("_id") % LOG_PARTITIONS).cast("int"))
+    middle = recs.agg(F.expr("percentile_approx(_id, 0.5)")).first()[0]
+    for part in ([recs] if middle is None else [recs.where(F.col("_id") <= middle), recs.where(F.col("_id") > middle)]):
+        append_records(part, root, "rating", LOG_PARTITIONS, ["_id"])
+    return root
+
+
+@register("stream_log_offsets", with_ctes(RATINGS_E_SQL, _LOG_SQL) + """
+SELECT partition * 1099511627776 + "offset" AS event_id, uid, mid, score,
+       strftime(time, '%Y-%m-%d %H:%M:%S.%f') AS time FROM logged""")
+def stream_log_offsets(spark, sf_dir):
+    """Records of a log as the online job parses them, by position, read in
+    bounded triggers by a query that is stopped and restarted in between."""
+    from recolake.sources.events import read_events
+    from recolake.streaming.online_stream import parse_stream
+
+    root = _event_log(spark, sf_dir)
+    most = 1 + fx.table(spark, sf_dir, "events").count() // 3
+    while True:
+        raw = read_events(spark, "rating", "log", root, max_per_trigger=most, options={"checkpoint": f"{root}/checkpoint"})
+        q = (parse_stream(raw).writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(availableNow=True).start(f"{root}/out"))
+        q.awaitTermination()
+        if not any(p["numInputRows"] for p in q.recentProgress):
+            break
+    return spark.read.parquet(f"{root}/out").select(
+        "event_id", "uid", "mid", "score", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"))
+
+
+_DAYS = ["2024-01-29", "2024-01-30", "2024-01-31"]
+
+_INCREMENTAL_SQL = """kept AS (SELECT * FROM ratings_l WHERE uid % 3 <> 1 OR score >= 3)"""
+
+
+@register("movie_stats_incremental", with_ctes(RATINGS_L_SQL, _INCREMENTAL_SQL) + """
+SELECT m.mid, m.yearmonth, m.rating_count, c.total_count, c.avg
+FROM (SELECT mid, strftime(time, '%Y-%m') AS yearmonth, count(score) AS rating_count FROM kept GROUP BY 1, 2) m
+JOIN (SELECT mid, count(score) AS total_count, round(avg(score), 6) AS avg FROM kept GROUP BY mid) c ON m.mid = c.mid""")
+def movie_stats_incremental(spark, sf_dir):
+    """Statistics kept by partial aggregates: three daily partitions, then the
+    second one again with other rows; each run reads its own partition only."""
+    import uuid
+
+    from recolake.plans.jobs import dws_rating_incremental_job
+    from recolake.session import scratch_path
+    from recolake.sources.tables import Lakehouse
+
+    lake = Lakehouse(spark, scratch_path(spark, "warehouse"), database=f"inc_{uuid.uuid4().hex[:12]}")
+    r = fx.ratings_l(spark, sf_dir)
+    for k, day in enumerate(_DAYS):
+        lake.write(ods.stamp_date(r.where(F.col("uid") % 3 == k), day), "ods", "Rating")
+        assert set(dws_rating_incremental_job(lake, day)) <= {day}
+    lake.write(ods.stamp_date(r.where("uid % 3 = 1 and score >= 3"), _DAYS[1]), "ods", "Rating")
+    assert set(dws_rating_incremental_job(lake, _DAYS[1])) <= {_DAYS[1]}
+    t = {name: lake.read("dws", name, _DAYS[1]) for name in ("MovieCountRatingMonth", "MovieCountRating", "MovieAvgRating")}
+    return (t["MovieCountRatingMonth"].select("mid", "yearmonth", "rating_count")
+            .join(t["MovieCountRating"].select("mid", F.col("rating_count").alias("total_count")), "mid")
+            .join(t["MovieAvgRating"].select("mid", _r6("avg")), "mid"))

@@ -101,30 +101,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, not yet existing path under the shared checkpoint root (never
-    machine-local on a cluster, since the root comes from the session)."""
+    """A fresh, not yet existing path in a folder of its own under the shared
+    checkpoint root (never machine-local on a cluster, since the root comes from
+    the session).  The folder goes when the driver's JVM ends."""
     import uuid
-    root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm = getattr(spark, "_jvm", None)  # absent under Spark Connect
+    if jvm is not None:
+        where = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+    return f"{folder}/data"
 
 
 def materialize(df, name: str):
     """Write ``df`` as a parquet table under the shared checkpoint root and
     read it back: cuts the lineage (recomputation after a lost executor
     starts from the files) and gives the optimizer real size statistics."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _delete_at_end(spark, path)
-    return spark.read.parquet(path)
-
-
-def _delete_at_end(spark: SparkSession, path: str) -> None:
-    """The store drops a scratch table when the driver's JVM ends."""
-    sc = _context(spark)
-    if sc is not None:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return df.sparkSession.read.parquet(path)
 
 
 _SHIPPED: set = set()

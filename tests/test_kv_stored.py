@@ -1,0 +1,76 @@
+"""Stored cell tables: reads equal the unstored ones and skip what they can."""
+
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from recolake.operators import kv
+
+SMALL = {"parquet.block.size": 64 << 10, "parquet.page.size": 4 << 10, "parquet.page.row.count.limit": 200,
+         "parquet.enable.dictionary": "false", "parquet.block.size.row.check.min": 100}
+
+
+@pytest.fixture(scope="module")
+def cells(spark):
+    return spark.range(60_000).select(
+        F.format_string("row%06d", F.pmod(F.col("id") * 7919, F.lit(20_000))).alias("rowkey"),
+        F.when(F.col("id") % 3 == 0, "log").otherwise("info").alias("family"), F.lit("q").alias("qualifier"),
+        F.concat(F.lit("value "), F.sha2(F.col("id").cast("string"), 256)).alias("value"), (F.col("id") % 11).alias("ts"))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, cells):
+    path = tempfile.mkdtemp(prefix="kv-") + "/cells"
+    kv.store(cells, path, partitions=2, layout=SMALL)
+    return spark.read.parquet(path)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def scanned(df):
+    """Rows that left the scan."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_files_hold_consecutive_keys(stored):
+    spans = stored.groupBy(F.input_file_name().alias("f")).agg(F.min("rowkey").alias("a"), F.max("rowkey").alias("b")).collect()
+    spans = sorted((r.a, r.b) for r in spans)
+    assert len(spans) == 2 and spans[0][1] <= spans[1][0]
+
+
+def test_point_and_range_reads_skip_row_groups(stored):
+    total = scanned(stored.select("rowkey"))
+    assert total == 60_000
+    point = scanned(stored.where(F.col("rowkey") == "row012345").select("value"))
+    span = scanned(stored.where((F.col("rowkey") >= "row000100") & (F.col("rowkey") < "row000200")).select("value"))
+    assert point < 0.05 * total and span < 0.05 * total
+    absent = scanned(stored.where(F.col("rowkey") == "row012345x").select("value"))  # inside the bounds of a row group
+    assert absent < 0.05 * total
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 300, 5000])
+def test_lookup_equals_multi_get(spark, cells, stored, monkeypatch, n):
+    monkeypatch.setattr(kv, "LOOKUP_KEYS", 1000)
+    keys = spark.range(n).select(F.format_string("row%06d", F.col("id") * 3 + 1).alias("rowkey"))
+    keys = keys.unionAll(keys).unionAll(spark.createDataFrame([(None,), ("absent",)], "rowkey string"))
+    for columns, versions in ((None, 1), ([("log", "q")], 2)):
+        assert rows(kv.lookup(stored, keys, columns, versions=versions)) == rows(kv.multi_get(cells, keys, columns, versions=versions))
+
+
+def test_range_reads_equal(cells, stored):
+    a, b = "row000100", "row000900"
+    assert rows(kv.range_scan(stored, a, b, versions=3)) == rows(kv.range_scan(cells, a, b, versions=3))
+
+
+def test_empty_table(spark, cells):
+    path = tempfile.mkdtemp(prefix="kv-") + "/cells"
+    kv.store(cells.limit(0), path)
+    keys = spark.createDataFrame([("row000001",)], "rowkey string")
+    assert kv.lookup(spark.read.parquet(path), keys).collect() == []
