@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from recolake.llm.common import WS
 from recolake.session import materialize
 
-MOST_SOURCES = 100_000  # rows the driver takes, one per source
+MOST_SOURCES = 100_000  # rows the driver takes, one per source; more stay a table
 BUCKET_ROWS, MOST_BUCKETS = 512, 1 << 16
 KEY_BITS = 60
 
@@ -87,6 +87,39 @@ def solve(tokens: dict[str, int], target_entropy: float | None = None, max_passe
                {k: round(total * w[k] / tokens[k], 9) if tokens[k] else 1.0 for k in tokens})
 
 
+def solve_table(sources: DataFrame, target_entropy: float | None = None, max_passes: float | None = None,
+                budget: float | None = None) -> DataFrame:
+    """``solve`` for any number of sources: ``sources`` (a stored table of
+    source, tokens and more) with ``weight`` and ``passes``.  A step of the
+    bisection is one aggregate; the limit on passes binds at the smallest source
+    and the budget at the largest."""
+    full = sources.where("tokens > 0")
+    total, least, most = full.agg(F.sum("tokens"), F.min("tokens"), F.max("tokens")).first()
+    if total is None:
+        return sources.withColumns({"weight": F.lit(0.0), "passes": F.lit(1.0)})
+    share = F.col("tokens") / F.lit(float(total))
+
+    def sums(exponent: float) -> tuple[float, float]:
+        raw = F.pow(share, F.lit(exponent))
+        return full.agg(F.sum(raw), F.sum(raw * F.log(share))).first()
+
+    def spent(exponent: float, norm: float) -> float:
+        return budget if budget is not None else most * norm / (most / total) ** exponent
+
+    def holds(exponent: float) -> bool:
+        norm, logs = sums(exponent)
+        read = spent(exponent, norm) * (least / total) ** exponent / norm
+        return ((target_entropy is None or math.log(norm) - exponent * logs / norm <= target_entropy + 1e-12) and
+                (max_passes is None or read <= max_passes * least * (1 + 1e-12)))
+
+    exponent = 1.0 if target_entropy is None and max_passes is None else bisect(holds, 30)
+    norm = sums(exponent)[0]
+    weight = F.when(F.col("tokens") > 0, F.pow(share, F.lit(exponent)) / F.lit(norm)).otherwise(F.lit(0.0))
+    # a source without tokens is read once
+    passes = F.when(F.col("tokens") > 0, F.round(F.lit(spent(exponent, norm)) * F.col("weight") / F.col("tokens"), 9))
+    return sources.withColumn("weight", weight).withColumn("passes", passes.otherwise(F.lit(1.0)))
+
+
 def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{WS[1:-1]}]+")).cast("long")
 
@@ -99,20 +132,23 @@ def key(doc_id: Column, nth: Column, seed: int) -> Column:
 
 def _plan(rows: DataFrame, limits: dict, block_tokens: int, seed: int, whole: DataFrame | None = None) -> DataFrame:
     """The readings of ``rows``, or of ``whole``: the same rows with more columns."""
-    sources = (rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-               .limit(MOST_SOURCES + 1).collect())
-    if len(sources) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    mix = solve({r["source"]: r["tokens"] for r in sorted(sources)}, **limits)
-    spark = rows.sparkSession
-    table = spark.createDataFrame(
-        [(r["source"], r["tokens"], mix.passes[r["source"]], max(mix.weights[r["source"]] * block_tokens, 1e-9),
-          max(1, min(MOST_BUCKETS, r["docs"] // BUCKET_ROWS))) for r in sources],
-        "source string, tokens long, passes double, quota double, buckets int")
+    sources = materialize(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"),
+                                                     F.count(F.lit(1)).alias("docs")), "mix_sources")
+    few = sources.count() <= MOST_SOURCES
+    if few:
+        mix = solve({r["source"]: r["tokens"] for r in sorted(sources.collect())}, **limits)
+        solved = rows.sparkSession.createDataFrame([(k, mix.weights[k], mix.passes[k]) for k in mix.tokens],
+                                                   "source string, weight double, passes double")
+        solved = sources.join(F.broadcast(solved), "source")  # one row per source
+    else:
+        solved = solve_table(sources, **limits)
+    buckets = F.greatest(F.lit(1), F.least(F.lit(MOST_BUCKETS), F.floor(F.col("docs") / BUCKET_ROWS)))
+    table = solved.select("source", "tokens", "passes", F.greatest(F.col("weight") * block_tokens, F.lit(1e-9)).alias("quota"),
+                          buckets.cast("int").alias("buckets"))
+    table = F.broadcast(table) if few else materialize(table, "mix_table")
 
     def read(frame: DataFrame) -> DataFrame:
-        # one row per source, at most MOST_SOURCES
-        return (frame.join(F.broadcast(table), "source")
+        return (frame.join(table, "source")
                 .withColumn("pass", F.explode(F.sequence(F.lit(0), F.greatest(
                     F.ceil("passes").cast("int") - 1, F.lit(0)))))
                 .withColumn("key", key(F.col("doc_id"), F.col("pass"), seed))

@@ -108,7 +108,7 @@ k AS (SELECT *, ('0x' || substr(md5('{MIX_SEED}|' || pass || '|' || doc_id), 1,
 c AS (SELECT *, (pass * tokens + coalesce(sum(n_tokens) OVER (PARTITION BY source, pass ORDER BY key, doc_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start FROM k)
 SELECT doc_id, source, pass::INT AS pass, n_tokens, start, floor(start / (weight * {MIX_BLOCK}))::BIGINT AS block
-FROM c WHERE start < passes * tokens
+FROM c WHERE pass + 1 <= passes OR start < passes * tokens
 """
 
 
@@ -125,8 +125,11 @@ v AS (SELECT doc_id, no, line, row_number() OVER (PARTITION BY doc_id ORDER BY n
 w AS (SELECT doc_id, no, ln, line, lead(line) OVER (PARTITION BY doc_id ORDER BY ln) AS next FROM v),
 x AS (SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, ln) > 1 AS later FROM w
       WHERE next IS NOT NULL),
+s AS (SELECT doc_id, ln, row_number() OVER (PARTITION BY line ORDER BY doc_id, ln) > 1 AS later,
+             len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 8 AS long FROM v),
 g AS (SELECT v.doc_id, v.no FROM v SEMI JOIN
-        (SELECT doc_id, ln FROM x WHERE later UNION SELECT doc_id, ln + 1 FROM x WHERE later) y
+        (SELECT doc_id, ln FROM x WHERE later UNION SELECT doc_id, ln + 1 FROM x WHERE later
+         UNION SELECT doc_id, ln FROM s WHERE later AND long) y
         ON v.doc_id = y.doc_id AND v.ln = y.ln),
 k AS (SELECT f.doc_id, f.no, f.line, f.full_line, g.no IS NOT NULL AS gone
       FROM f LEFT JOIN g ON f.doc_id = g.doc_id AND f.no = g.no)
@@ -138,7 +141,10 @@ FROM k GROUP BY doc_id
 
 @register("op9_line_dedup", OP9_SQL)
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), run=2).drop("text", "kept_text")
+    """Runs of two lines, and single lines of eight words: short lines that
+    stand alone, such as a closing formula, stay."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, run=2, min_words=8).drop("text", "kept_text")
 
 
 OP9_LINES_SQL = r"""

@@ -123,7 +123,31 @@ def test_nothing(spark):
     assert schedule(nulls).count() == 3 and mixed(nulls).count() == 3
 
 
-def test_too_many_sources_are_refused(spark, monkeypatch):
+@pytest.mark.parametrize("limits", [{"max_passes": 2.0}, {"target_entropy": 1.0}, {}, {"max_passes": 3.0, "budget": 900.0}])
+def test_more_sources_than_the_driver_takes_give_the_same(spark, monkeypatch, limits):
+    docs = edge_docs(spark, n=150, null_id=True)
+    rows = lambda: sorted(map(str, schedule(docs, block_tokens=700, **limits).collect()))
+    want = rows()
     monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
-    with pytest.raises(ValueError):
-        schedule(edge_docs(spark))
+    assert rows() == want
+    nulls = spark.createDataFrame([(None, None, None, f"s{i}", None) for i in range(5)], DOCS)
+    assert schedule(nulls, **limits).count() == 5
+
+
+def test_sql_keeps_texts_without_tokens(spark, tmp_path):
+    """The query equals its SQL on a table with texts without tokens."""
+    from oracle_harness import digest
+
+    from recolake.llm.queries import QUERIES
+    rng = __import__("random").Random(3)
+    rows = [(i, prose(rng, rng.randrange(1, 30)) if i % 5 == 0 else [None, "", " \n"][i % 3], "en", f"s{i % 3}", 0)
+            for i in range(200)]
+    spark.createDataFrame(rows, DOCS).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    q = QUERIES["op2_mixing"]
+    got = q.run(spark, str(tmp_path))
+    con = __import__("duckdb").connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    res = con.execute(q.sql)
+    cols = [c[0] for c in res.description]
+    n, want, _ = digest(cols, res.fetchall())
+    assert digest(got.columns, [tuple(r) for r in got.collect()])[:2] == (n, want) and n >= 200

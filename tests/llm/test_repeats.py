@@ -116,9 +116,9 @@ def test_shard_without_passages():
     assert Shard(4).locate(1, [b"a"] * 9) == []
 
 
-def brute_lines(rows, run):
+def brute_lines(rows, run, min_words=None):
     docs = sorted(((i is not None, i or 0, n), i, t) for n, (i, t) in enumerate(rows))
-    seen, out = set(), []
+    seen, single, out = set(), set(), []
     for _, i, t in docs:
         lines = (t or "").split("\n")
         full = [k for k, x in enumerate(lines) if re.search(WORD, x)]
@@ -128,6 +128,10 @@ def brute_lines(rows, run):
             if g in seen:
                 gone.update(full[k:k + run])
             seen.add(g)
+        for k in full:
+            if min_words is not None and len(re.findall(f"{WORD}+", lines[k])) >= min_words and (lines[k],) in single:
+                gone.add(k)
+            single.add((lines[k],))
         kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)
         out.append((i, len(full), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return sorted(out, key=str)
@@ -142,13 +146,14 @@ def line_docs(spark, seed=0):
     return spark.createDataFrame(rows, DOCS)
 
 
-@pytest.mark.parametrize("run,seed", [(1, 0), (2, 1), (3, 2), (5, 3)])
-def test_lines_equal_brute_force(spark, run, seed):
+@pytest.mark.parametrize("run,min_words,seed", [(1, None, 0), (2, None, 1), (3, None, 2), (4, None, 4), (5, None, 3),
+                                                (2, 2, 5), (4, 2, 6), (3, 1, 7), (1, 2, 8)])
+def test_lines_equal_brute_force(spark, run, min_words, seed):
     docs = line_docs(spark, seed)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = sorted(((r["doc_id"], r["n_lines"], r["n_removed"], r["kept_sha256"])
-                  for r in line_dedup(clashing(docs), run).collect()), key=str)
-    assert got == brute_lines(rows, run)
+                  for r in line_dedup(clashing(docs), run, min_words).collect()), key=str)
+    assert got == brute_lines(rows, run, min_words)
 
 
 def test_runs_are_maximal(spark):
@@ -157,6 +162,18 @@ def test_runs_are_maximal(spark):
     assert runs == [(2, 1, 3), (2, 5, 2)]
 
 
+def test_doubling_goes_on_until_no_rank_is_shared(spark):
+    """A run of 21 lines in two documents: intervals of 2, 4, 8 and 16 lines; a
+    document that repeats itself; one text in many documents."""
+    long = [f"line {i}" for i in range(30)]
+    docs = spark.createDataFrame([
+        (1, "\n".join(long), "", "", 0), (2, "\n".join(["x", *long[4:25], "y"]), "", "", 0),
+        (3, "\n".join(["p", "q"] * 10), "", "", 0), *[(10 + i, "same\ntext\nthrice", "", "", 0) for i in range(40)],
+        *[(60, "one id\none text", "", "", 0)] * 50], DOCS)
+    runs = {(r["id"], r["first_line"]): (r["n_lines"], r["longest"]) for r in repeated_runs(docs, 2).collect()}
+    assert runs == {(2, 1): (21, 16), (3, 2): (18, 16), **{(10 + i, 0): (3, 2) for i in range(1, 40)}}
+
+
 def test_repeated_rows_and_empty_tables_of_lines(spark):
     assert line_dedup(spark.createDataFrame([], DOCS)).count() == 0
     docs = spark.createDataFrame([(1, "a\nb", "", "", 0), (1, "a\nb", "", "", 0), (None, "a\nb", "", "", 0)], DOCS)
