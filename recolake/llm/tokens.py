@@ -3,8 +3,8 @@
 Both public vocabularies split a text at a single space between two visible
 characters whatever surrounds it, so a text's ids are the ids of its
 space-separated pieces in order.  Pieces repeat far more often than texts do:
-each worker keeps a bounded table piece -> ids and gives only new pieces to the
-tokenizers library.
+each worker keeps a bounded table piece -> ids, of two generations, and gives
+only new pieces to the tokenizers library.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
-CACHE = 400_000  # pieces a worker remembers
+CACHE = 500_000  # pieces of a generation; a worker remembers two
 LONGEST = 64  # longer pieces are encoded but not remembered
-SLICE = 1 << 21  # characters of text encoded together
 
 # Runs that both vocabularies take as units wherever they stand: Latin-1
 # letters, and ASCII punctuation but the apostrophe.
@@ -35,6 +34,32 @@ def _unclean(piece: str) -> bool:
     return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
+class _Unclean(Exception):
+    """A piece at whose ends the text may not be split."""
+
+
+class _Table(dict):
+    """Ids of pieces.  A full table becomes the older generation; pieces found
+    there move on, so what is in use stays."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+            if len(piece) > LONGEST:
+                return ids
+        if len(self) >= CACHE:
+            self.older.clear()  # first, so that no more than two generations are held
+            self.older.update(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts, as the bytes of little-endian int32."""
 
@@ -51,14 +76,20 @@ class Encoder:
         self.lead = self._seen(" a")[:-1]
         letters = [chr(c) for c in range(256) if _WORD(chr(c))]
         self.form = {ord(c): self._seen(c) for c in letters}
+        # ASCII letters come as they are or in lower case: quicker than a table
+        self.ascii = next((f for f in (str, str.lower) if all(f(c) == self.form[ord(c)] for c in letters if c < "\x80")), None)
         self.line_end = self._seen("\n")
-        self.known: dict[str, bytes] = {}  # ids of pieces that follow a space
+        self.known = _Table(self._spaced)  # pieces after a space
+        self.opening = _Table(lambda unit: self._model(self._formed(unit)))  # words after something else
         self.marks: dict[str, bytes] = {}
 
     def _seen(self, text: str) -> str:
         norm, pre = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         return "".join(x for x, _ in pre.pre_tokenize_str(norm.normalize_str(text) if norm else text))
 
+    def _formed(self, word: str) -> str:
+        return self.ascii(word) if self.ascii and word.isascii() else word.translate(self.form)
+
     def _model(self, seen: str) -> bytes:
         return array("i", [t.id for t in self.model.tokenize(seen)]).tobytes()
 
@@ -66,10 +97,9 @@ class Encoder:
         """Ids of a run of letters or marks, or of one line end."""
         if unit == "\n":
             return self._model(self.line_end) if self.line_end else b""
-        lead = self.lead if spaced else ""
         if unit[0].isalpha():
-            known = self.known.get(unit) if spaced else None
-            return known if known is not None else self._model(lead + unit.translate(self.form))
+            return self.known[unit] if spaced else self.opening[unit]
+        lead = self.lead if spaced else ""
         known = self.marks.get(lead + unit)
         if known is None:
             known = self._model(lead + unit)
@@ -77,77 +107,44 @@ class Encoder:
                 self.marks[lead + unit] = known
         return known
 
-    def _ids(self, pieces: list[str], spaced: bool) -> dict[str, bytes]:
-        """Ids of each piece, after a space if ``spaced``."""
-        found: dict[str, bytes] = {}
-        rest = []
-        lead = self.lead if spaced else ""
-        for p in pieces:
-            if _WORD(p):
-                found[p] = self._model(lead + p.translate(self.form))
-            elif _SIMPLE(p):
-                head, *tail = _UNITS(p)
-                found[p] = self._unit(head, spaced) + b"".join([self._unit(u, False) for u in tail])
-            else:
-                rest.append(p)
-        if rest:
-            got = self.tokenizer.encode([" " + p for p in rest] if spaced else rest, is_pretokenized=True,
-                                        add_special_tokens=False)
-            parts = [array("i") for _ in rest]
-            for i, w in zip(got.ids, got.word_ids):
-                parts[w].append(i)
-            found.update((p, a.tobytes()) for p, a in zip(rest, parts))
-        return found
-
-    def _table(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of every piece, each after a space."""
-        known = self.known
-        fresh = self._ids([p for p in pieces if p not in known], True)
-        passing = [p for p in fresh if len(p) > LONGEST or _unclean(p)]
-        table = known
-        if passing:  # needed now, not remembered
-            table = {**known, **fresh}
-            for p in passing:
-                del fresh[p]
-        known.update(fresh)
-        if len(known) > CACHE:
-            self.known = {p: known[p] for p in pieces if p in known}
-        return table
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        if not any(a in t for a in self.added for t in texts):
-            return self._ordinary(texts)
-        parts = [self.cut(t) if any(a in t for a in self.added) else [t] for t in texts]  # each second one is added
-        ids = iter(self._ordinary([s for p in parts for s in p[::2]]))
-        return [b"".join([self.added[s] if k % 2 else next(ids) for k, s in enumerate(p)]) for p in parts]
-
-    def _ordinary(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        pieces = set().union(*split)
-        unclean = {p for p in pieces if _unclean(p)}
-        if unclean:
-            split = [s if unclean.isdisjoint(s) else self._split(t) for s, t in zip(split, texts)]
-            pieces = set().union(*split)
-        first = self._ids(list({s[0] for s in split}), False)
-        get = self._table(pieces).__getitem__
-        return [first[s[0]] + b"".join(map(get, s[1:])) for s in split]
-
-    @staticmethod
-    def _split(text: str) -> list[str]:
+    def _spaced(self, piece: str) -> bytes:
+        if _WORD(piece):
+            return self._model(self.lead + self._formed(piece))
+        if _unclean(piece):
+            raise _Unclean
+        return self._ids(piece, True)
+
+    def _ids(self, piece: str, spaced: bool) -> bytes:
+        """Ids of a piece, after a space if ``spaced``."""
+        if _WORD(piece):
+            return self._model((self.lead if spaced else "") + self._formed(piece))
+        if _SIMPLE(piece):
+            head, *tail = _UNITS(piece)
+            return self._unit(head, spaced) + b"".join([self._unit(u, False) for u in tail])
+        got = self.tokenizer.encode([" " + piece if spaced else piece], is_pretokenized=True, add_special_tokens=False)
+        return array("i", got.ids).tobytes()
+
+    def _ordinary(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        head, *rest = text.split(" ")
+        if not _unclean(head):
+            try:
+                return self._ids(head, False) + b"".join(map(self.known.__getitem__, rest))
+            except _Unclean:
+                pass
         head, *rest = _SAFE.split(text)
-        return [head, *[p[1:] for p in rest]]
+        rest = [p[1:] for p in rest]
+        return self._ids(head, False) + b"".join([self._ids(p, True) if _unclean(p) else self.known[p] for p in rest])
+
+    def _encode(self, text: str) -> bytes:
+        if not any(a in text for a in self.added):
+            return self._ordinary(text)
+        parts = self.cut(text)  # each second one is added
+        return b"".join([self.added[s] if k % 2 else self._ordinary(s) for k, s in enumerate(parts)])
 
     def encode(self, texts: Iterator[str | None]) -> Iterator[bytes]:
         """One value for each text in order; null is encoded as the empty text."""
-        held, size = [], 0
-        for t in texts:
-            held.append(t or "")
-            size += len(held[-1])
-            if size >= SLICE:
-                yield from self._encode(held)
-                held, size = [], 0
-        if held:
-            yield from self._encode(held)
+        return (self._encode(t or "") for t in texts)
 
 
 def strings(column: pa.Array, rows: int = 256) -> Iterator[str | None]:

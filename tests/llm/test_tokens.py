@@ -51,7 +51,6 @@ def test_added_tokens_in_a_text_are_those_of_the_plain_library(path, parts):
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_a_small_piece_table_changes_nothing(path, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE", 10)
-    monkeypatch.setattr(tokens, "SLICE", 50)
     rng = random.Random(1)
     texts = [None, "", "x" * 300] + [" ".join(f"w{rng.randrange(99)}'s" for _ in range(30)) for _ in range(20)]
     enc = Encoder(path)
