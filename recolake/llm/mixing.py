@@ -184,8 +184,8 @@ def schedule(docs: DataFrame, block_tokens: int = 1 << 18, seed: int = 11, id_co
 
     Tokens are words.  A null source counts as the empty name, a null text as
     one without tokens.  Rows that repeat an id are read like any others, next
-    to each other.  An empty table gives an empty result.  ``limits``: see
-    ``solve``.
+    to each other.  An empty table gives an empty result.  Other input columns,
+    whatever their names, are not read.  ``limits``: see ``solve``.
     """
     plan = _plan(_rows(docs, id_col, text_col, source_col), limits, block_tokens, seed)
     return plan.select("doc_id", "source", F.col("pass").cast("int").alias("pass"), "n_tokens", "start", "block")
@@ -198,7 +198,9 @@ def mixed(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", text_col: str
     them go by block, and in a block by how much of its part of the block a
     source has given, which keeps every pass's permutation.
 
-    Texts are moved twice: to the buckets of their passes, and to the order."""
+    Nulls, empty texts, repeated rows and an empty table: as in ``schedule``.
+    The columns come back as they are, whatever their names.  Texts are moved
+    twice: to the buckets of their passes, and to the order."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     plan = _plan(_rows(docs, id_col, text_col, source_col), limits, block_tokens, seed,
                  _named(docs, id_col, text_col, source_col, row))

@@ -185,7 +185,8 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     Null labels are ignored; a document with several labels has the rounded
     mean.  Null and empty texts have statistics of 0 and are scored like any
     other; repeated rows score alike; an empty table gives an empty result.
-    Nothing but the text enters a score.
+    Nothing but the text enters a score: other input columns, whatever their
+    names, are not read.
     """
     stats = materialize(with_statistics(docs, id_col, text_col).withColumn("held_out", held_out), "quality_stats")
     marks = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(f"`{id_col}`").alias("doc_id"))

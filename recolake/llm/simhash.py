@@ -201,7 +201,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     doc_id whose fingerprint is reachable over links of ``bits`` or fewer
     differing bits.  Null and empty texts have fingerprint zero and link like
     any other.  Null ids never name a component unless all its ids are null.
-    Rows that repeat an id keep a row each.  Other input columns are not read.
+    Rows that repeat an id keep a row each.  An empty table gives an empty
+    result.  Other input columns, whatever their names, are not read.
     """
     hashed = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash_fp")
     named = _named(hashed, bits)
@@ -216,7 +217,8 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The input rows without near duplicates: of each group the row of the
     smallest id stays (null ids last), of several with that id the one whose
     text has the smallest SHA-256, and one of those that share it too.  A null
-    text counts as empty."""
+    text counts as empty; an empty table gives an empty result; the columns come
+    back as they are, whatever their names."""
     named = F.col(f"`{id_col}`")
     # names a row but for those equal in id and text; a null id adds nothing to it
     name = F.concat_ws("|", F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256), named.cast("string")).alias("name")
