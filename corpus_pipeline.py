@@ -3,7 +3,9 @@ deduplication, mixing, packing.
 
 Each stage calls one operator of ``recolake.llm`` on everything its
 predecessor kept, is written as Parquet under the shared checkpoint folder and
-reread.  All but the last return the columns they were given.
+reread.  All but the last return the columns they were given, with their types
+and values, whatever other columns are called.  Every stage takes null ids,
+repeated rows and empty tables (which give empty results).
 """
 
 from __future__ import annotations
@@ -25,32 +27,41 @@ SEQUENCE, END_ID = 4096, 1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised: those without a letter go, and
-    those under the calibrated threshold."""
+    """Documents whose language is recognised: those without a letter go (null
+    and empty texts too), and those under the calibrated threshold.  Without a
+    labelled text to learn from none is recognised.  Repeated rows are judged
+    alike."""
     ship_package(spark)
     model = language_id.fit(docs, crc_of_id() % 4 != 2)
     return language_id.recognised(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents equal but for white space, the longest one stays."""
+    """Of documents equal but for white space, the longest one stays, then the
+    smallest id (null ids last); one row of each group.  Null and empty texts
+    are one group."""
     return without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked over 3 or fewer fingerprint bits, one stays."""
+    """Of documents linked over 3 or fewer fingerprint bits, one row stays: that
+    of the smallest id, null ids last.  Null and empty texts have fingerprint
+    zero."""
     ship_package(spark)
     return representatives(docs, shingle=3, bits=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at the flattest temperature that repeats none more than
-    MAX_PASSES times; every document is read at least once."""
+    MAX_PASSES times; every document is read at least once.  A null source is
+    the empty name; null and empty texts are read with their source's passes,
+    and count no token; rows that repeat an id are read each."""
     return mixed(docs, max_passes=MAX_PASSES)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of SEQUENCE tokens."""
+    """Pieces of the documents in sequences of SEQUENCE tokens.  A null text is
+    the end token alone; rows that repeat an id are packed each."""
     ship_package(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=SEQUENCE, end_id=END_ID)
 
