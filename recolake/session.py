@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -100,6 +102,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders that this thread makes inside of the block go at its end:
+    for work that repeats in one JVM, such as a stream's micro-batches."""
+    outer, _SCOPES.made = getattr(_SCOPES, "made", None), []
+    try:
+        yield
+    finally:
+        made, _SCOPES.made = _SCOPES.made, outer
+        for folder in made:
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path in a folder of its own under the shared
     checkpoint root (never machine-local on a cluster, since the root comes from
@@ -112,6 +131,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
         fs.mkdirs(where)
         fs.deleteOnExit(where)
+        if getattr(_SCOPES, "made", None) is not None:
+            _SCOPES.made.append(folder)
     return f"{folder}/data"
 
 
