@@ -26,7 +26,7 @@ BUCKET = 4096  # pieces packed together
 
 
 def cut(docs: DataFrame, tokenizer: str, length: int, end_id: int, id_col: str, text_col: str,
-        keep_ids: bool = False) -> DataFrame:
+        keep_ids: bool = False, cache: int | None = None) -> DataFrame:
     """Pieces of every row: doc_id, uid (numbers the piece), piece, start,
     length, ids_crc32 and, on request, ids."""
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -34,7 +34,7 @@ def cut(docs: DataFrame, tokenizer: str, length: int, end_id: int, id_col: str,
     end = np.array([end_id], dtype="<i4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, uid = encoder(tokenizer), TaskContext.get().partitionId() << 40
+        enc, uid = encoder(tokenizer, cache), TaskContext.get().partitionId() << 40
         for b in batches:
             rows: list[tuple] = []
             size = 0
@@ -100,7 +100,7 @@ def best_fit(lengths: np.ndarray, capacity: tuple[float, float, float], weights:
 
 def pack(docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, max_pieces: int | None = None,
          max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.01, 0.01), id_col: str = "doc_id",
-         text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+         text_col: str = "text", keep_ids: bool = False, cache: int | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset (and ids on request).
 
@@ -109,8 +109,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, m
     tokens, ``max_pieces`` pieces or ``max_cost`` attention cost (None: as much
     as the tokens allow).  Rows that repeat an id are packed like any others; an
     empty table gives an empty result; other input columns are not read.
+    ``cache`` bounds the pieces of text that a worker remembers (``tokens.CACHE``).
     """
-    pieces = materialize(cut(docs, tokenizer, length, end_id, id_col, text_col, keep_ids), "pieces")
+    pieces = materialize(cut(docs, tokenizer, length, end_id, id_col, text_col, keep_ids, cache), "pieces")
     capacity = (float(length), float(max_pieces or length), float(max_cost or length * length))
     if capacity[2] < length * length:
         raise ValueError("max_cost must admit a piece of full length")

@@ -66,13 +66,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_token_table")
 def op3_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_table")
-    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0,
+                 cache=400_000)
     return with_ids_crc32(read_tokens(spark, path))
 
 
 @register("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=1)
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=4096, end_id=1,
+                cache=500_000)
 
 
 @register("op1_quality_classifier")

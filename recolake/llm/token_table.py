@@ -37,13 +37,14 @@ LAYOUT = {
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id",
-                 text_col: str = "text", layout: dict | None = None) -> None:
+                 text_col: str = "text", layout: dict | None = None, cache: int | None = None) -> None:
     """Write ``path``/tokens (doc_id, file, local_start, n_tokens, ids) in
     ascending id order (null ids first, rows of one id by text) and
     ``path``/index (file, start, n_tokens, n_docs).
 
     ``tokenizer`` is the place of a vocabulary file of the tokenizers library,
-    on every executor.  ``end_id`` ends every document; a null text counts as
+    on every executor; ``cache`` bounds the pieces that a worker remembers (see
+    ``tokens.CACHE``).  ``end_id`` ends every document; a null text counts as
     empty; repeated rows are written once each; an empty table writes empty
     tables; other input columns are not read.
     """
@@ -56,7 +57,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     end = np.array([end_id], dtype="<i4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, file, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, file, at = encoder(tokenizer, cache), TaskContext.get().partitionId(), 0
         for b in batches:
             held: list[bytes] = []
             done = size = 0

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
-CACHE = 500_000  # pieces of a generation; a worker remembers two
+CACHE = 250_000  # pieces of a generation unless the caller says otherwise; a worker remembers two
 LONGEST = 64  # longer pieces are encoded but not remembered
 
 # Runs that both vocabularies take as units wherever they stand: Latin-1
@@ -42,9 +42,9 @@ class _Table(dict):
     """Ids of pieces.  A full table becomes the older generation; pieces found
     there move on, so what is in use stays."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
@@ -52,7 +52,7 @@ class _Table(dict):
             ids = self.encode(piece)
             if len(piece) > LONGEST:
                 return ids
-        if len(self) >= CACHE:
+        if len(self) >= self.most:
             self.older.clear()  # first, so that no more than two generations are held
             self.older.update(self)
             self.clear()
@@ -63,7 +63,7 @@ class _Table(dict):
 class Encoder:
     """Ids of whole texts, as the bytes of little-endian int32."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,8 +79,9 @@ class Encoder:
         # ASCII letters come as they are or in lower case: quicker than a table
         self.ascii = next((f for f in (str, str.lower) if all(f(c) == self.form[ord(c)] for c in letters if c < "\x80")), None)
         self.line_end = self._seen("\n")
-        self.known = _Table(self._spaced)  # pieces after a space
-        self.opening = _Table(lambda unit: self._model(self._formed(unit)))  # words after something else
+        self.known = _Table(self._spaced, cache or CACHE)  # pieces after a space
+        # words after something else
+        self.opening = _Table(lambda unit: self._model(self._formed(unit)), cache or CACHE)
         self.marks: dict[str, bytes] = {}
 
     def _seen(self, text: str) -> str:
@@ -153,11 +154,11 @@ def strings(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
         yield from column.slice(at, rows).to_pylist()
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache: int | None = None) -> Encoder:
     """The worker's encoder of a vocabulary file, loaded once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, cache) not in _ENCODERS:
+        _ENCODERS[path, cache] = Encoder(path, cache)
+    return _ENCODERS[path, cache]
