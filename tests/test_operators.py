@@ -381,6 +381,27 @@ def test_sim_positions_match_lists(spark):
     assert flat == want and max(len(r.simList) for r in lists) == 7
 
 
+def test_sim_positions_as_a_window_gives_and_pairs_move_once(spark):
+    import random
+    from pyspark.sql import Window
+    rnd = random.Random(9)
+    some = lambda n: None if rnd.random() < 0.05 else rnd.randint(0, n)
+    value = lambda: rnd.choice([None, float("nan"), 0.5, -0.5, rnd.random(), rnd.random()])
+    rows = list({(a, b): (a, b, value()) for a, b in ((some(6), some(200)) for _ in range(1500))}.values())
+    pairs = spark.createDataFrame(rows, "mid1 int, mid2 int, similarity double").repartition(5)
+    w = Window.partitionBy("mid1").orderBy(F.col("similarity").desc(), F.col("mid2").asc())
+    want = pairs.select(F.col("mid1").alias("mid"), (F.row_number().over(w) - 1).alias("pos"), F.col("mid2").alias("sim_mid"),
+                        "similarity")
+    text = lambda df: sorted(str(tuple(r)) for r in df.collect())
+    found = similarity.sim_positions(pairs)
+    assert text(found) == text(want) and found.count() == len(rows)
+    assert text(similarity.sim_positions(pairs, num_partitions=3)) == text(want)
+    for df in (similarity.sim_positions(pairs), similarity.sim_chunks(pairs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # the pairs in packed form, and the deal above
+        assert plan.count("Exchange") == 2 and "Join" not in plan and "rangepartitioning" not in plan
+
+
 def test_number_within_matches_row_number(spark):
     """Property: skew-safe numbering equals row_number over the key, for
     random keys with heavy skew and any partition count."""
