@@ -26,11 +26,12 @@ Hashes only choose candidates; what is removed has been compared word by word.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -42,12 +43,10 @@ from recolake.session import materialize
 SHARD_WORDS = 250_000  # passage words in a shard, about
 SHARD_DOCS = 2_000  # documents streamed through one copy of a shard, about
 CHUNK = 50_000  # words of a holder that stay together
-KNOWN = 500_000  # word hashes a worker remembers
 KEY = ["id", "digest"]  # a document; the digest of its text tells rows of one id apart
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_words: dict[bytes, int] = {}
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -67,17 +66,45 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_LOW = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)  # masks of the first bytes
+LONG = 64  # bytes of a word beyond which it is hashed on its own
+TOGETHER = 1 << 16  # bytes of texts hashed in one go
+
+
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash and the place of every word of a text, eight bytes of all words
+    at a time."""
+    white = np.ones(len(text) + 2, bool)
+    _WHITE.take(np.frombuffer(text, np.uint8), out=white[1:-1])
+    edge = np.flatnonzero(white[1:] != white[:-1])
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    eights = np.ndarray(len(text) + 1, "<u8", text + bytes(8), 0, (1,))  # the eight bytes from every place on
+    h = size.astype(np.uint64)
+    at, left, own = start, size, None
+    for _ in range(0, LONG, 8):
+        lane = eights.take(at) & _LOW.take(left, mode="clip")
+        if own is None:
+            h = _mix(h * np.uint64(_BASE) ^ lane)
+        else:
+            h[own] = _mix(h[own] * np.uint64(_BASE) ^ lane)
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        own = more if own is None else own[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(text[start[i]:start[i] + size[i]])
+    return h, start
+
+
 class Hashed:
     """Hashes of every span of a word sequence, by prefix sums modulo 2^64."""
 
-    def __init__(self, words: list[bytes]):
-        if len(_words) > KNOWN:
-            _words.clear()
-        for w in set(words).difference(_words):
-            _words[w] = xxhash.xxh64_intdigest(w)
-        self.n = len(words)
+    def __init__(self, h: np.ndarray):
+        self.n = len(h)
         power, self.inverse = _power_tables(self.n)
-        h = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=self.n)
         self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power[:self.n], dtype=np.uint64)))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -88,11 +115,32 @@ class Hashed:
         return self.spans(at, at + k)
 
 
+def _hashed(texts: Iterable[bytes]) -> Iterator[Hashed]:
+    """Each text's words hashed, short texts together."""
+    def together(some: list[bytes]) -> Iterator[Hashed]:
+        h, start = _word_hashes(b" ".join(some))
+        end = np.cumsum([len(t) + 1 for t in some])
+        cut = np.searchsorted(start, end).tolist()
+        return (Hashed(h[i:j]) for i, j in zip([0, *cut], cut))
+
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= TOGETHER:
+            yield from together(held)
+            held, size = [], 0
+    yield from together(held)
+
+
 def anchor_runs(words: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     """Anchor hash, first window, number of windows and context hash of every
     run of windows that share an anchor occurrence."""
+    return _anchor_runs(next(_hashed([b" ".join(words)])), window)
+
+
+def _anchor_runs(hashed: Hashed, window: int) -> tuple[np.ndarray, ...]:
     half = window // 2
-    hashed = Hashed(words)
     grams = hashed.grams(half)
     best = np.lib.stride_tricks.sliding_window_view(grams, window - half + 1).argmin(axis=1)
     best += np.arange(len(best))
@@ -113,8 +161,12 @@ def _squeeze(texts: pa.Array) -> pa.Array:
     return pa.array([z.compress(t.as_py()) for t in texts], pa.binary())
 
 
+def _inflated(z: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompressobj().decompress(z)
+
+
 def _unsqueeze(z: bytes) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompressobj().decompress(z).split()
+    return _inflated(z).split()
 
 
 def _keyed(rows: list[tuple], batch: pa.RecordBatch, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -134,10 +186,9 @@ def _scan_anchors(window: int):
         for b in batches:
             rows: list[tuple] = []
             held = 0
-            for i, t in enumerate(b.column("text")):
-                words = t.as_py().split()
-                if len(words) >= window:
-                    a, start, n, c = anchor_runs(words, window)
+            for i, hashed in enumerate(_hashed(t.as_py() for t in b.column("text"))):
+                if hashed.n >= window:
+                    a, start, n, c = _anchor_runs(hashed, window)
                     rows.append((i, a.view(np.int64), start.astype(np.int32), n.astype(np.int32), c.view(np.int64)))
                     held += len(a)
                 if held > 200_000:
@@ -153,11 +204,10 @@ def _scan_windows(window: int):
         for b in batches:
             rows: list[tuple] = []
             held = 0
-            for i, (z, runs) in enumerate(zip(b.column("z"), b.column("runs"))):
-                runs = runs.as_py()
-                if not runs:
-                    continue
-                hashed = Hashed(_unsqueeze(z.as_py()))
+            # documents with windows to look at
+            some = np.flatnonzero(pc.list_value_length(b.column("runs")).to_numpy(zero_copy_only=False) > 0).tolist()
+            for i, hashed in zip(some, _hashed(_inflated(b.column("z")[i].as_py()) for i in some)):
+                runs = b.column("runs")[i].as_py()
                 at = np.unique(np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in runs]))
                 rows.append((i, hashed.spans(at, at + window).view(np.int64), at.astype(np.int32)))
                 held += len(at)

@@ -108,6 +108,23 @@ def test_anchor_runs_cover_every_window_and_depend_on_it_alone(words):
             assert anchor_runs(words[k:k + 10], 10)[0].tolist() == [a]
 
 
+WORDS_OF = st.binary(max_size=90).map(lambda b: b.translate(None, bytes([*range(9, 14), 32]))) | st.sampled_from([b"abcdefgh", b"abcdefghabcdefgh"])
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.lists(WORDS_OF, max_size=12), max_size=5), blank=st.sampled_from([b" ", b"\x0b", b" \r\n", b"\t\x0c"]))
+def test_words_of_many_texts_are_hashed_together(texts, blank):
+    """Words end where ``split`` ends them; equal words, and no others, have equal hashes."""
+    found = [*sub._hashed(blank.join(w) for w in texts)]
+    split = [blank.join(w).split() for w in texts]
+    assert [h.n for h in found] == [len(w) for w in split]
+    known = {}
+    for w, h in zip(split, found):
+        for word, x in zip(w, h.grams(1).tolist() if w else []):
+            assert known.setdefault(word, x) == x
+    assert len(set(known.values())) == len(known)
+
+
 def test_merged_spans():
     assert merged([(5, 7), (0, 2), (2, 3), (6, 9)]) == [(0, 3), (5, 9)] and merged([]) == []
 
