@@ -1,0 +1,58 @@
+"""Packed blocks: exact products, every block pair once, nothing copied to block pairs."""
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from recolake.operators import blocks, postings, prefix_join
+from recolake.session import materialize
+
+
+def _block(rng, ids, terms):
+    x = rng.random((len(ids), terms)) * (rng.random((len(ids), terms)) < rng.random(terms) ** 3)
+    i, j = np.nonzero(x)
+    batch = postings.pack(3, ids[i], j * 10, x[i, j], rng.random(len(i)))
+    kept = np.unique(i)
+    return postings.unpack(pa.RecordBatch.from_pandas(batch.add_suffix("1")), 0, "1"), ids[kept], x[kept]
+
+
+@pytest.mark.parametrize("pairs, columns", [(1 << 20, 512), (5, 3)])
+def test_products_are_exact(monkeypatch, pairs, columns):
+    monkeypatch.setattr(postings, "PAIRS", pairs)
+    rng = np.random.default_rng(2)
+    (a, ids, x), (b, _, y) = _block(rng, np.arange(-20, 20), 70), _block(rng, np.arange(100, 170), 70)
+    assert a.ids.tolist() == ids.tolist()
+    for share in (0.001, 4, 1e9):
+        monkeypatch.setattr(postings, "DENSE_SHARE", share)
+        assert np.allclose(postings.product(a, b, columns), x @ y.T, atol=1e-12)
+        assert np.allclose(postings.product(a, a, columns), x @ x.T, atol=1e-12)
+        some = np.arange(len(a.ids)) % 3 == 0
+        assert np.allclose(postings.product(a.of(some), b, columns), x[some] @ y.T, atol=1e-12)
+
+
+def test_every_block_pair_once_without_a_shuffle(spark):
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({blocks.BLOCK: pdf[blocks.BLOCK].iloc[:1], "ids": [sorted(pdf["id"])]})
+
+    df = spark.range(60)
+    met = blocks.self_pairs(df, "id", 9, pack, "ids array<long>")
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    rows = met.collect()
+    seen = [frozenset((r["_blk1"], r["_blk2"])) for r in rows]
+    n = len({r["_blk1"] for r in rows})
+    assert len(seen) == len(set(seen)) == n * (n + 1) // 2
+    assert sorted(i for r in rows if r["_blk1"] == r["_blk2"] for i in r["ids1"]) == list(range(60))
+
+
+def test_pairs_of_documents_do_not_move(spark):
+    """Neither candidates nor documents are shuffled to block pairs."""
+    terms = F.explode(F.sequence(F.col("id") % 7, F.col("id") % 7 + 5))
+    counts = (spark.range(300).select(F.col("id").cast("int").alias("mid"), terms.alias("term"))
+              .select("mid", F.col("term").cast("string"), F.lit(1).cast("long").alias("tf")))
+    pairs = prefix_join.cosine_pairs(materialize(counts, "counts"), 300, 0.3)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    assert pairs.count() > 300 * 42
