@@ -56,3 +56,20 @@ def test_pairs_of_documents_do_not_move(spark):
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" in plan and "Exchange" not in plan
     assert pairs.count() > 300 * 42
+
+
+def test_repeated_terms(spark):
+    """A document that holds a term twice: one posting, its weights summed, one kept."""
+    batch = postings.pack(0, np.array([7, 5, 7, 5]), np.array([2, 2, 2, 1]), np.array([1.0, 2, 3, 4]), np.array([0.5, 1, 0.9, 1]))
+    a = postings.unpack(pa.RecordBatch.from_pandas(batch.add_suffix("1")), 0, "1")
+    assert a.ids.tolist() == [5, 7] and a.ends.tolist() == [1, 3] and a.rows.tolist() == [0, 0, 1]
+    assert a.weights.tolist() == [4, 2, 4] and a.below.tolist() == [1, 1, 0.9]
+    assert a.once().weights[:2].tolist() == [4, 2] and a.once().weights[2] in (1, 3)
+    assert a.of(np.array([False, True])).once().weights.tolist() == [a.once().weights[2]]
+    # rows of one mid: their weights add up where the mid is the larger one
+    rows = [(m, t, 1) for m in (1, 2, 2, 3) for t in ("x", "y")] + [(9, "z", 1)]
+    counts = materialize(spark.createDataFrame(rows, "mid int, term string, tf long"), "counts")
+    got = {(r.mid1, r.mid2): round(r.similarity, 9) for r in prefix_join.cosine_pairs(counts, 6, 0.3).collect()}
+    half, twice = round(0.5 ** 0.5, 9), round(2 ** 0.5, 9)
+    want = {(1, 2): twice, (1, 3): 1.0, (2, 3): half}
+    assert got == want | {(y, x): s for (x, y), s in want.items()}
